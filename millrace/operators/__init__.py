@@ -16,6 +16,7 @@ from millrace.operators.windows import (
     processing_time_chars,
     slide_panes,
     sliding_totals,
+    sliding_totals_closed,
     top_per_window,
     window_totals,
 )
@@ -37,6 +38,7 @@ __all__ = [
     "processing_time_chars",
     "slide_panes",
     "sliding_totals",
+    "sliding_totals_closed",
     "spread_stats",
     "top_per_window",
     "window_totals",

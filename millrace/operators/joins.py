@@ -111,36 +111,18 @@ def _stretch(time: str, micros: int) -> Column:
     return at - F.pmod(at, F.lit(micros))
 
 
-def join_stream_static(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    how: str = "inner",
-    *,
-    hot: Sequence = (),
-    salts: int = 32,
-) -> DataFrame:
+def join_stream_static(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner") -> DataFrame:
     """Join a stream with a bounded frame, given in either order.
 
-    Streams have no skew splitting at run time. Rows of the ``hot`` keys of the
-    streaming side are therefore dealt over ``salts`` groups, and the matching
-    static rows copied to each. The streaming side is the kept one in every legal
-    join type, so each of its rows still meets all its partners exactly once.
+    The stream is the kept side in every legal form. Such a query holds no state,
+    so each micro-batch is planned adaptively: a small static side is broadcast,
+    a large one shuffled with the hot keys of the stream split.
     """
     kind = _kind(how)
     _require("stream-static" if left.isStreaming else "static-stream", kind)
-    columns = left.columns if kind in ("left_semi", "left_anti") else left.columns + right.columns
-    same = F.col(left_key) == F.col(right_key)
-    if not hot:
-        return left.join(right, same, kind)
-    if left.isStreaming:
-        left = _salted(left, left_key, hot, salts, "_lsalt")
-        right = _replicated(right, right_key, hot, salts, "_rsalt")
-    else:
-        left = _replicated(left, left_key, hot, salts, "_lsalt")
-        right = _salted(right, right_key, hot, salts, "_rsalt")
-    return left.join(right, same & (F.col("_lsalt") == F.col("_rsalt")), kind).select(*columns)
+    if kind in ("left_semi", "left_anti"):
+        right = right.select(right_key).distinct()
+    return left.join(right, F.col(left_key) == F.col(right_key), kind)
 
 
 def join_streams(

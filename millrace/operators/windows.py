@@ -89,6 +89,35 @@ def sliding_totals(
     return slide_panes(panes, length, slide, keys=keys, name=name)
 
 
+def sliding_totals_closed(
+    df: DataFrame,
+    time: str,
+    length: str,
+    slide: str,
+    amount: str | Column,
+    *,
+    delay: str,
+    keys: Sequence[str] = (),
+    name: str = "total",
+) -> DataFrame:
+    """Sliding sums of a stream in append mode: each window once, when it is closed.
+
+    Two chained aggregates under one watermark. The first holds open panes only,
+    the second open windows only, so the state does not grow with the history.
+    ``time`` must be a zoned timestamp.
+    """
+    panes = (
+        df.withWatermark(time, delay)
+        .groupBy(F.window(time, slide).alias("pane"), *keys)
+        .agg(F.sum(amount).alias("pane_total"))
+    )
+    return (
+        panes.groupBy(F.window("pane", length, slide).alias("window"), *keys)
+        .agg(F.sum("pane_total").alias(name))
+        .select("window.*", *keys, name)
+    )
+
+
 def processing_time_chars(lines: DataFrame, length: str = "10 seconds", column: str = "value") -> DataFrame:
     """Characters per line text and arrival window; arrival is fixed per micro-batch."""
     stamped = lines.select(column, F.current_timestamp().alias("processing_time"))

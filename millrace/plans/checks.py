@@ -123,4 +123,6 @@ ORACLE: dict[str, str] = {
         SELECT date_trunc('hour', ts) AS "start", date_trunc('hour', ts) + INTERVAL 1 HOUR AS "end",
         event_type, count(*) AS "count" FROM events GROUP BY ALL)
         WHERE "end" <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
+    "win_sliding_append": f"""SELECT "start", "end", item AS event_type, round(total, 4) AS total FROM ({_SLIDING})
+        WHERE "end" <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
 }

@@ -26,6 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 TWO_HOURS = 2 * 3600
+BATCH_BYTES = 10**12
 NTZ = "timestamp_ntz"
 
 
@@ -44,6 +45,16 @@ def drained(df: DataFrame, name: str, mode: str = "append", **options: object) -
     return run_stream(df, run_folder(df.sparkSession, name), mode, **options)
 
 
+def backlog(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A stored table as a stream, in micro-batches of bounded size.
+
+    For queries whose result is the same for any cut into batches. Queries with a
+    watermark read the table in one batch instead, as files need not lie in time
+    order and rows of a late file would be dropped.
+    """
+    return table_stream(spark, folder, name, max_bytes_per_trigger=BATCH_BYTES)
+
+
 def purchases(events: DataFrame) -> DataFrame:
     """Events in the shape of purchase records."""
     return events.select(
@@ -160,13 +171,13 @@ def proj_typed(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def json_expand(spark: SparkSession, folder: str) -> DataFrame:
-    records = fn.json_records(table_stream(spark, folder, "events"), "k BIGINT", "record", "props")
+    records = fn.json_records(backlog(spark, folder, "events"), "k BIGINT", "record", "props")
     return drained(fn.expand(records, "record"), "json_expand")
 
 
 @query
 def json_fields(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table_stream(spark, folder, "events").select(
+    rows = backlog(spark, folder, "events").select(
         F.struct("event_id", F.from_json("props", "k BIGINT").alias("props")).alias("event")
     )
     picked = rows.selectExpr("event.event_id as id", "event.props.k as amount")
@@ -175,13 +186,13 @@ def json_fields(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def struct_pick(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table_stream(spark, folder, "customer").select(F.struct("c_custkey", "c_name").alias("band"))
+    rows = backlog(spark, folder, "customer").select(F.struct("c_custkey", "c_name").alias("band"))
     return drained(fn.pick_fields(rows, "band", {"c_custkey": "id", "c_name": "name"}), "struct_pick")
 
 
 @query
 def kafka_decode(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table_stream(spark, folder, "events").select(
+    rows = backlog(spark, folder, "events").select(
         F.col("user_id").cast("string").cast("binary").alias("key"),
         F.col("props").cast("binary").alias("value"),
         F.col("event_type").alias("topic"),
@@ -195,12 +206,12 @@ def kafka_decode(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def kafka_kv(spark: SparkSession, folder: str) -> DataFrame:
-    return drained(fn.to_kv(table_stream(spark, folder, "part"), "p_name"), "kafka_kv")
+    return drained(fn.to_kv(backlog(spark, folder, "part"), "p_name"), "kafka_kv")
 
 
 @query
 def json_build(spark: SparkSession, folder: str) -> DataFrame:
-    messages = fn.to_json_kv(table_stream(spark, folder, "part"), "p_name", ["p_name", "p_size", "p_type"])
+    messages = fn.to_json_kv(backlog(spark, folder, "part"), "p_name", ["p_name", "p_size", "p_type"])
     return drained(messages, "json_build")
 
 
@@ -216,7 +227,7 @@ def msg_default_key(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def filter_length(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table_stream(spark, folder, "events").select(F.col("event_type").alias("value"))
+    lines = backlog(spark, folder, "events").select(F.col("event_type").alias("value"))
     return drained(fn.short_lines(lines), "filter_length")
 
 
@@ -227,7 +238,7 @@ def filter_ne(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def filter_default(spark: SparkSession, folder: str) -> DataFrame:
-    strong = op.above(table_stream(spark, folder, "part"), "p_retailprice", 950)
+    strong = op.above(backlog(spark, folder, "part"), "p_retailprice", 950)
     return drained(strong.select("p_partkey", "p_name", "p_retailprice"), "filter_default")
 
 
@@ -259,19 +270,19 @@ def agg_count_by(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_count_powerful(spark: SparkSession, folder: str) -> DataFrame:
-    strong = op.above(table_stream(spark, folder, "part"), "p_retailprice", 950)
+    strong = op.above(backlog(spark, folder, "part"), "p_retailprice", 950)
     return drained(op.count_where(strong, F.lit(True), "powerful"), "stream_count_powerful", "complete")
 
 
 @query
 def stream_avg(spark: SparkSession, folder: str) -> DataFrame:
-    mean = op.mean_of(table_stream(spark, folder, "part"), "p_retailprice", "average")
+    mean = op.mean_of(backlog(spark, folder, "part"), "p_retailprice", "average")
     return drained(mean, "stream_avg", "complete").select(F.round("average", 4).alias("average"))
 
 
 @query
 def stream_count_by(spark: SparkSession, folder: str) -> DataFrame:
-    counts = op.count_by(table_stream(spark, folder, "part"), "p_type", name="parts")
+    counts = op.count_by(backlog(spark, folder, "part"), "p_type", name="parts")
     return drained(counts, "stream_count_by", "complete")
 
 
@@ -280,19 +291,19 @@ def stream_count_by(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def mode_append_rows(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table_stream(spark, folder, "events").where("value > 100").select("event_id", "event_type", "value")
+    rows = backlog(spark, folder, "events").where("value > 100").select("event_id", "event_type", "value")
     return drained(rows, "mode_append_rows")
 
 
 @query
 def mode_update_agg(spark: SparkSession, folder: str) -> DataFrame:
-    counts = op.count_by(table_stream(spark, folder, "events"), "user_id", name="actions")
+    counts = op.count_by(backlog(spark, folder, "events"), "user_id", name="actions")
     return drained(counts, "mode_update_agg", "update", keys=["user_id"])
 
 
 @query
 def mode_complete_agg(spark: SparkSession, folder: str) -> DataFrame:
-    totals = table_stream(spark, folder, "events").groupBy("user_id").agg(F.sum("value").alias("total"))
+    totals = backlog(spark, folder, "events").groupBy("user_id").agg(F.sum("value").alias("total"))
     return drained(totals, "mode_complete_agg", "complete").select("user_id", F.round("total", 4).alias("total"))
 
 
@@ -301,7 +312,7 @@ def ckpt_no_reread(spark: SparkSession, folder: str) -> DataFrame:
     """Two runs over one checkpoint: the second finds nothing new."""
     place = run_folder(spark, "ckpt_no_reread")
     for _ in range(2):
-        stored = run_stream(table_stream(spark, folder, "orders").select("o_orderkey", "o_totalprice"), place)
+        stored = run_stream(backlog(spark, folder, "orders").select("o_orderkey", "o_totalprice"), place)
     return stored
 
 
@@ -326,7 +337,7 @@ def progress_event_time(spark: SparkSession, folder: str) -> DataFrame:
 def sink_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """One row per name, the newest part number wins."""
     place = run_folder(spark, "sink_upsert")
-    rows = table_stream(spark, folder, "part").select("p_name", "p_size", "p_partkey")
+    rows = backlog(spark, folder, "part").select("p_name", "p_size", "p_partkey")
     writer = upsert_sink(f"{place}/data", ["p_name"], ["p_partkey"])
     started = (
         rows.writeStream.foreachBatch(writer)
@@ -341,7 +352,7 @@ def sink_upsert(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def sink_row_writer(spark: SparkSession, folder: str) -> DataFrame:
     place = run_folder(spark, "sink_row_writer")
-    rows = table_stream(spark, folder, "part").select("p_name", "p_size")
+    rows = backlog(spark, folder, "part").select("p_name", "p_size")
     shape = pa.schema([("p_name", pa.string()), ("p_size", pa.int32())])
     writer = RowWriter(lambda part, batch: ParquetConnection(f"{place}/data", shape, part, batch))
     started = (
@@ -413,13 +424,11 @@ def join_anti(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def ss_static_inner(spark: SparkSession, folder: str) -> DataFrame:
-    stored = table(spark, folder, "orders")
     joined = op.join_stream_static(
-        _orders(table_stream(spark, folder, "orders")),
+        _orders(backlog(spark, folder, "orders")),
         _customers(table(spark, folder, "customer")),
         "o_custkey",
         "c_custkey",
-        hot=op.hot_keys(stored, "o_custkey"),
     )
     return drained(joined, "ss_static_inner")
 
@@ -428,7 +437,7 @@ def ss_static_inner(spark: SparkSession, folder: str) -> DataFrame:
 def static_ss_right(spark: SparkSession, folder: str) -> DataFrame:
     joined = op.join_stream_static(
         _labels(table(spark, folder, "labels")),
-        _documents(table_stream(spark, folder, "documents")),
+        _documents(backlog(spark, folder, "documents")),
         "l_doc_id",
         "doc_id",
         "right",
@@ -438,7 +447,7 @@ def static_ss_right(spark: SparkSession, folder: str) -> DataFrame:
 
 def _documents_with_labels(spark: SparkSession, folder: str, how: str) -> DataFrame:
     joined = op.join_stream_static(
-        _documents(table_stream(spark, folder, "documents")),
+        _documents(backlog(spark, folder, "documents")),
         _labels(table(spark, folder, "labels")),
         "doc_id",
         "l_doc_id",
@@ -465,8 +474,8 @@ def ss_static_anti(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stream_stream_inner(spark: SparkSession, folder: str) -> DataFrame:
     joined = op.join_streams(
-        _orders(table_stream(spark, folder, "orders")),
-        _customers(table_stream(spark, folder, "customer")),
+        _orders(backlog(spark, folder, "orders")),
+        _customers(backlog(spark, folder, "customer")),
         "o_custkey",
         "c_custkey",
         unbounded_state=True,
@@ -543,20 +552,20 @@ def rounded(df: DataFrame, name: str = "total") -> DataFrame:
 
 @query
 def win_tumbling_sum(spark: SparkSession, folder: str) -> DataFrame:
-    totals = op.window_totals(purchases(table_stream(spark, folder, "events")), "time", "1 day", "quantity")
+    totals = op.window_totals(purchases(backlog(spark, folder, "events")), "time", "1 day", "quantity")
     return rounded(drained(totals, "win_tumbling_sum", "complete"))
 
 
 @query
 def win_best_seller(spark: SparkSession, folder: str) -> DataFrame:
-    ranked = op.best_sellers(purchases(table_stream(spark, folder, "events")))
+    ranked = op.best_sellers(purchases(backlog(spark, folder, "events")))
     return rounded(drained(ranked, "win_best_seller", "complete"))
 
 
 @query
 def win_top1_per_day(spark: SparkSession, folder: str) -> DataFrame:
     totals = op.window_totals(
-        purchases(table_stream(spark, folder, "events")), "time", "1 day", "quantity", keys=["item"]
+        purchases(backlog(spark, folder, "events")), "time", "1 day", "quantity", keys=["item"]
     )
     best = drained(totals, "win_top1_per_day", "complete", finish=lambda day: op.top_per_window(day, "item"))
     return rounded(best)
@@ -564,7 +573,7 @@ def win_top1_per_day(spark: SparkSession, folder: str) -> DataFrame:
 
 def _hourly_panes(spark: SparkSession, folder: str) -> DataFrame:
     return op.pane_totals(
-        purchases(table_stream(spark, folder, "events")), "time", "1 hour", "quantity", keys=["item"]
+        purchases(backlog(spark, folder, "events")), "time", "1 hour", "quantity", keys=["item"]
     )
 
 
@@ -593,7 +602,7 @@ def win_top1_sliding(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def proc_time_chars(spark: SparkSession, folder: str) -> DataFrame:
     """Arrival windows differ from run to run, so their bounds are summed away."""
-    lines = table_stream(spark, folder, "events").select(F.col("props").alias("value"))
+    lines = backlog(spark, folder, "events").select(F.col("props").alias("value"))
     stored = drained(op.processing_time_chars(lines), "proc_time_chars", "complete")
     return stored.groupBy("value").agg(F.sum("length").alias("length"))
 
@@ -605,3 +614,18 @@ def wm_count(spark: SparkSession, folder: str) -> DataFrame:
     )
     stored = drained(counts, "wm_count")
     return stored.withColumns({name: F.col(name).cast(NTZ) for name in ("start", "end")})
+
+
+@query
+def win_sliding_append(spark: SparkSession, folder: str) -> DataFrame:
+    totals = op.sliding_totals_closed(
+        _zoned(table_stream(spark, folder, "events")),
+        "ts",
+        "1 day",
+        "1 hour",
+        "value",
+        delay="10 minutes",
+        keys=["event_type"],
+    )
+    stored = rounded(drained(totals, "win_sliding_append"))
+    return stored.withColumns({name: F.col(name).cast(NTZ) for name in ("start", "end")})

@@ -66,19 +66,21 @@ def run_stream(
     ``finish`` turns a complete result into the frame to store. It runs on a
     bounded frame, so it may rank, sort or aggregate again.
     """
+    if mode not in ("append", "update", "complete"):
+        raise ValueError(f"unknown output mode {mode!r}")
+    if mode == "update" and not keys:
+        raise ValueError("update mode needs the key columns of the result")
+    if finish is not None and mode != "complete":
+        raise ValueError("finish needs the whole result, so it goes with complete mode only")
     data, checkpoint = f"{folder}/data", f"{folder}/checkpoint"
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.trigger(**trigger_options())
-    if finish is not None and mode != "complete":
-        raise ValueError("finish needs the whole result, so it goes with complete mode only")
 
     if mode == "append":
         query = writer.format("parquet").option("path", data).start()
     elif mode == "update":
-        if not keys:
-            raise ValueError("update mode needs the key columns of the result")
         query = writer.foreachBatch(upsert_sink(data, keys)).start()
-    elif mode == "complete":
+    else:
         last: list[tuple[int, StructType]] = []
 
         def store(batch: DataFrame, batch_id: int) -> None:
@@ -88,8 +90,6 @@ def run_stream(
             last[:] = [(batch_id, result.schema)]
 
         query = writer.foreachBatch(store).start()
-    else:
-        raise ValueError(f"unknown output mode {mode!r}")
 
     await_end(query, timeout)
     if on_query is not None:

@@ -1,0 +1,58 @@
+"""Every registered query against its SQL in DuckDB, on the given tables."""
+
+import datetime as dt
+import math
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_points
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+    "labels conversations"
+).split()
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
+    return con
+
+
+def plain(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(round(value, 6))
+    return value.isoformat() if isinstance(value, (dt.date, dt.datetime)) else repr(value)
+
+
+@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+def test_query_equals_sql(spark, duck, name):
+    frame = entry_points.queries()[name](spark, FOLDER)
+    result = duck.execute(entry_points.oracle_sql()[name])
+    columns = sorted(frame.columns)
+    assert columns == sorted(entry[0] for entry in result.description)
+    kinds = {entry[0]: str(entry[1]) for entry in result.description}
+    assert {c: TYPES[t] for c, t in frame.dtypes} == kinds
+    places = [[entry[0] for entry in result.description].index(c) for c in columns]
+    expected = sorted(tuple(plain(row[i]) for i in places) for row in result.fetchall())
+    assert sorted(tuple(plain(row[c]) for c in columns) for row in frame.collect()) == expected
+
+
+def test_every_check_belongs_to_a_query():
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
+def test_entry(spark):
+    frame = entry_points.entry(spark)
+    assert frame.columns == ["start", "end", "item", "total"] and frame.count() > 0

@@ -1,0 +1,74 @@
+"""Late data, one micro-batch per file, run until idle before the next file."""
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+import samples
+from millrace import functions as fn
+from millrace import operators as op
+from millrace.sources import lines_stream
+from millrace.streaming import progress_frame, run_stream
+
+EMITTED = [(6, 8, "blue", 1), (8, 10, "green", 1), (12, 14, "green", 1), (14, 16, "blue", 1), (14, 16, "red", 1)]
+
+
+def counts(spark, folder):
+    return op.late_safe_counts(fn.parse_lines(lines_stream(spark, "text", folder)))
+
+
+def in_seconds(df):
+    return df.select(F.unix_seconds("start"), F.unix_seconds("end"), "color", "count")
+
+
+def test_replay(spark, drop, tmp_path):
+    place = str(tmp_path / "run")
+    dropped, watermarks = [], []
+    for batch in samples.COLOR_BATCHES:
+        drop(batch + "\n")
+        reports = []
+        stored = run_stream(counts(spark, drop.folder), place, on_query=lambda q: reports.extend(q.recentProgress))
+        frame = progress_frame(spark, reports)
+        data = frame.where("input_rows > 0").select(F.unix_seconds("watermark")).first()
+        watermarks.append(data[0])
+        dropped.append(frame.agg(F.sum("late_rows")).first()[0])
+    assert watermarks == [0, 5, 6, 12, 12, 13, 13, 19, 19]
+    assert dropped == [0, 0, 0, 1, 1, 0, 0, 1, 1]
+    assert rows(in_seconds(stored)) == sorted(EMITTED, key=repr)
+
+
+def test_nothing_is_late_in_one_batch(spark, drop, tmp_path):
+    drop("\n".join(samples.COLOR_BATCHES) + "\n")
+    reports = []
+    stored = run_stream(counts(spark, drop.folder), str(tmp_path / "run"), on_query=lambda q: reports.extend(q.recentProgress))
+    assert progress_frame(spark, reports).agg(F.sum("late_rows")).first()[0] == 0
+    assert stored.count() == 9
+    assert stored.where("color = 'green'").agg(F.max(F.unix_seconds("end"))).first()[0] == 18
+
+
+def test_state_is_freed_as_windows_close(spark, drop, tmp_path):
+    drop("1000,blue\n")
+    reports = []
+    place = str(tmp_path / "run")
+    run_stream(counts(spark, drop.folder), place)
+    drop("100000,red\n")
+    run_stream(counts(spark, drop.folder), place, on_query=lambda q: reports.extend(q.recentProgress))
+    states = [row.state_rows for row in progress_frame(spark, reports).orderBy("batch_id").collect()]
+    assert states == [2, 1]
+
+
+def test_event_times_of_two_batches(spark, drop, tmp_path):
+    place, reports = str(tmp_path / "run"), []
+    for batch in ("7000,blue\n8000,green", "14000,blue"):
+        drop(batch + "\n")
+        run_stream(counts(spark, drop.folder), place, on_query=lambda q: reports.extend(q.recentProgress))
+    frame = progress_frame(spark, reports).where("input_rows > 0").orderBy("batch_id")
+    times = frame.select(*(F.unix_millis(name) for name in ("min_time", "avg_time", "max_time", "watermark")))
+    assert [tuple(row) for row in times.collect()] == [(7000, 7500, 8000, 0), (14000, 14000, 14000, 6000)]
+
+
+def test_watermark_needs_a_zoned_timestamp(spark, tmp_path):
+    spark.range(1).selectExpr("timestamp_ntz'2024-01-01' as created", "'x' as color").write.parquet(str(tmp_path / "t"))
+    stream = spark.readStream.schema("created TIMESTAMP_NTZ, color STRING").parquet(str(tmp_path / "t"))
+    with pytest.raises(Exception, match="EVENT_TIME_IS_NOT_ON_TIMESTAMP_TYPE"):
+        run_stream(op.late_safe_counts(stream), str(tmp_path / "run"))
