@@ -71,13 +71,18 @@ def join_tables(left: DataFrame, right: DataFrame, left_key: str, right_key: str
 def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
     """Keys holding more than ``share`` of a bounded frame: at most ``1 / share`` of them.
 
-    One narrow aggregate over the key column. For a true stream take the keys from
-    its history. They shape the state of a stream-stream join, so keep the list
-    unchanged for the life of a checkpoint.
+    One pass finds candidates with counters of fixed size, which miss no such key
+    and shuffle no list of all keys; a second counts only the candidates. For a
+    true stream take the keys from its history. They shape the state of a
+    stream-stream join, so keep the list unchanged for the life of a checkpoint.
     """
+    found = df.select(F.col(key).alias("key")).freqItems(["key"], share).first()[0]
+    candidates = [value for value in found if value is not None]
+    if not candidates:
+        return []
     limit = df.count() * share
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return [row[0] for row in counts.where((F.col("n") > limit) & F.col(key).isNotNull()).select(key).collect()]
+    counts = df.where(F.col(key).isin(candidates)).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return [row[0] for row in counts.where(F.col("n") > limit).select(key).collect()]
 
 
 def _is_hot(key: str, hot: Sequence) -> Column:
@@ -138,7 +143,7 @@ def join_streams(
     delay: str | None = None,
     unbounded_state: bool = False,
     hot: Sequence = (),
-    salts: int = 32,
+    salts: int = 8,
 ) -> DataFrame:
     """Join two streams on a key, optionally with ``left_time <= right_time <= left_time + within``.
 
@@ -147,10 +152,14 @@ def join_streams(
     must be asked for with ``unbounded_state``.
 
     Within a time range, a row only meets state rows of its own and one neighbouring
-    stretch of time, not all rows of its key: the stretch number joins the key.
-    Hot keys are dealt over ``salts`` groups as well. Both tricks copy rows of the
-    side that the join does not keep, so every kept row is judged once. A full join
-    keeps both sides; it is a left join plus the unmatched rows of a right join.
+    stretch of time, not all rows of its key: the start of the stretch joins the
+    key. That alone spreads a hot key over its history. Where one stretch of one key
+    is still too much for a task, name the key in ``hot``: its rows are dealt over
+    ``salts`` groups, at the price of as many copies of their partners.
+
+    Copies are made of the side that the join does not keep, so every kept row is
+    judged once. A full join keeps both sides; it is a left join plus the unmatched
+    rows of a right join. Column names of the two sides must differ.
     """
     kind = _kind(how)
     ranged = within is not None

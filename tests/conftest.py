@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "millrace-tests",
         "local[8]",
-        shuffle_partitions=4,
+        shuffle_partitions=2,
         log_level="ERROR",
         checkpoint_dir=str(tmp_path_factory.mktemp("shared")),
         large_state=False,
