@@ -44,6 +44,12 @@ HEADLINE = [
     "proc_time_chars",
     "wm_count",
     "sink_upsert",
+    "batch_best_seller",
+    "batch_top1_per_day",
+    "batch_sliding_sum",
+    "batch_top1_sliding",
+    "batch_interval_left",
+    "batch_interval_full",
 ]
 
 

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 HOW = {
     "inner": "inner",
@@ -110,10 +111,18 @@ def _replicated(df: DataFrame, key: str, hot: Sequence, salts: int, name: str) -
     return df.withColumn(name, F.explode(copies))
 
 
-def _stretch(time: str, micros: int) -> Column:
-    """Start of the stretch of ``micros`` that a time falls in, in microseconds."""
-    at = F.unix_micros(time)
-    return at - F.pmod(at, F.lit(micros))
+def _stretch(df: DataFrame, time: str, seconds: int) -> Column:
+    """Start of the stretch of ``seconds`` that a time falls in, in seconds since 1970.
+
+    A time without a zone is counted by its own calendar, so that the session's zone
+    and its clock changes do not matter.
+    """
+    if isinstance(df.schema[time].dataType, TimestampNTZType):
+        clock = F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+        at = F.unix_date(F.to_date(time)).cast("bigint") * 86400 + clock
+    else:
+        at = F.unix_seconds(time)
+    return at - F.pmod(at, F.lit(seconds))
 
 
 def join_stream_static(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner") -> DataFrame:
@@ -147,6 +156,8 @@ def join_streams(
 ) -> DataFrame:
     """Join two streams on a key, optionally with ``left_time <= right_time <= left_time + within``.
 
+    Two bounded frames give the result that the streams would have at their end.
+
     With ``within`` (seconds) and ``delay`` (watermark) rows leave the state once no
     partner can come. Without them an inner join keeps every row for ever, which
     must be asked for with ``unbounded_state``.
@@ -163,13 +174,16 @@ def join_streams(
     """
     kind = _kind(how)
     ranged = within is not None
-    if ranged and (left_time is None or right_time is None or delay is None):
-        raise ValueError("a time range needs both time columns and a watermark delay")
+    streaming = left.isStreaming or right.isStreaming
+    if ranged and (left_time is None or right_time is None):
+        raise ValueError("a time range needs both time columns")
+    if ranged and streaming and delay is None:
+        raise ValueError("a time range on streams needs a watermark delay")
     _require("stream-stream with watermark and range" if ranged else "stream-stream", kind)
-    if not ranged and not unbounded_state:
+    if not ranged and streaming and not unbounded_state:
         raise ValueError("without a time range the state grows for ever; pass unbounded_state=True to accept it")
 
-    if ranged:
+    if ranged and streaming:
         left = left.withWatermark(left_time, delay)
         right = right.withWatermark(right_time, delay)
     if kind == "full":
@@ -205,15 +219,13 @@ def _spread_join(
     condition = condition & (F.col("_lsalt") == F.col("_rsalt"))
 
     if within is not None:
-        step = within * 1_000_000
+        start_left, start_right = _stretch(left, left_time, within), _stretch(right, right_time, within)
         if keeps_right:  # a left row can meet right rows of its own stretch and the next
-            start = _stretch(left_time, step)
-            left = left.withColumn("_lslot", F.explode(F.array(start, start + step)))
-            right = right.withColumn("_rslot", _stretch(right_time, step))
+            left = left.withColumn("_lslot", F.explode(F.array(start_left, start_left + within)))
+            right = right.withColumn("_rslot", start_right)
         else:
-            start = _stretch(right_time, step)
-            left = left.withColumn("_lslot", _stretch(left_time, step))
-            right = right.withColumn("_rslot", F.explode(F.array(start - step, start)))
+            left = left.withColumn("_lslot", start_left)
+            right = right.withColumn("_rslot", F.explode(F.array(start_right - within, start_right)))
         upper = F.col(left_time) + F.expr(f"INTERVAL '{int(within)}' SECOND")
         condition = (
             condition

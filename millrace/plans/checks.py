@@ -15,6 +15,8 @@ lone_c AS (SELECT * FROM c WHERE click_id NOT IN (SELECT click_id FROM pairs)
            AND c_ts + INTERVAL 2 HOUR < (SELECT closed FROM wm)),
 lone_b AS (SELECT * FROM b WHERE buy_id NOT IN (SELECT buy_id FROM pairs) AND b_ts < (SELECT closed FROM wm))
 """
+_EVERY_LONE_C = "c WHERE click_id NOT IN (SELECT click_id FROM pairs)"
+_EVERY_LONE_B = "b WHERE buy_id NOT IN (SELECT buy_id FROM pairs)"
 _LONE_C = """SELECT click_id, c_user, c_ts, CAST(NULL AS BIGINT) AS buy_id, CAST(NULL AS BIGINT) AS b_user,
 CAST(NULL AS TIMESTAMP) AS b_ts FROM lone_c"""
 _LONE_B = """SELECT CAST(NULL AS BIGINT) AS click_id, CAST(NULL AS BIGINT) AS c_user,
@@ -125,4 +127,16 @@ ORACLE: dict[str, str] = {
         WHERE "end" <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
     "win_sliding_append": f"""SELECT "start", "end", item AS event_type, round(total, 4) AS total FROM ({_SLIDING})
         WHERE "end" <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
+    "batch_best_seller": f"SELECT * REPLACE (round(total, 4) AS total) FROM ({_DAY_ITEM})",
+    "batch_top1_per_day": _top(_DAY_ITEM),
+    "batch_sliding_sum": f"SELECT * REPLACE (round(total, 4) AS total) FROM ({_SLIDING})",
+    "batch_top1_sliding": _top(_SLIDING),
+    "batch_interval_left": _INTERVAL_SIDES
+    + "SELECT * FROM pairs UNION ALL "
+    + _LONE_C.replace("lone_c", _EVERY_LONE_C),
+    "batch_interval_full": _INTERVAL_SIDES
+    + "SELECT * FROM pairs UNION ALL "
+    + _LONE_C.replace("lone_c", _EVERY_LONE_C)
+    + " UNION ALL "
+    + _LONE_B.replace("lone_b", _EVERY_LONE_B),
 }

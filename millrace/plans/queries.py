@@ -629,3 +629,58 @@ def win_sliding_append(spark: SparkSession, folder: str) -> DataFrame:
     )
     stored = rounded(drained(totals, "win_sliding_append"))
     return stored.withColumns({name: F.col(name).cast(NTZ) for name in ("start", "end")})
+
+
+# --- the same transforms over bounded tables ---------------------------------
+
+
+@query
+def batch_best_seller(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(op.best_sellers(purchases(table(spark, folder, "events"))))
+
+
+@query
+def batch_top1_per_day(spark: SparkSession, folder: str) -> DataFrame:
+    totals = op.window_totals(purchases(table(spark, folder, "events")), "time", "1 day", "quantity", keys=["item"])
+    return rounded(op.top_per_window(totals, "item"))
+
+
+def _sliding_day(spark: SparkSession, folder: str) -> DataFrame:
+    return op.sliding_totals(
+        purchases(table(spark, folder, "events")), "time", "1 day", "1 hour", "quantity", keys=["item"]
+    )
+
+
+@query
+def batch_sliding_sum(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(_sliding_day(spark, folder))
+
+
+@query
+def batch_top1_sliding(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(op.top_per_window(_sliding_day(spark, folder), "item"))
+
+
+def _click_then_buy_batch(spark: SparkSession, folder: str, how: str) -> DataFrame:
+    events = table(spark, folder, "events")
+    return op.join_streams(
+        _clicks(events),
+        _buys(events),
+        "c_user",
+        "b_user",
+        how,
+        left_time="c_ts",
+        right_time="b_ts",
+        within=TWO_HOURS,
+        hot=op.hot_keys(events, "user_id"),
+    )
+
+
+@query
+def batch_interval_left(spark: SparkSession, folder: str) -> DataFrame:
+    return _click_then_buy_batch(spark, folder, "left")
+
+
+@query
+def batch_interval_full(spark: SparkSession, folder: str) -> DataFrame:
+    return _click_then_buy_batch(spark, folder, "full")

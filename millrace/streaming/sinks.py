@@ -144,7 +144,11 @@ def latest_rows(
 def compact(
     spark: SparkSession, path: str, target: str, keys: Sequence[str], schema: StructType, order_by: Sequence[str] = ()
 ) -> None:
-    """Rewrite an upsert table as one batch in a new place, dropping old rows."""
+    """Rewrite an upsert table as one batch in a new place, dropping old rows.
+
+    Do it while the writing stream is stopped, then let it go on with the same
+    checkpoint and the new place.
+    """
     rows = latest_rows(spark, path, keys, schema, order_by)
     rows.write.mode("errorifexists").parquet(f"{target}/{BATCH}=-1")
 

@@ -1,7 +1,10 @@
 import datetime as dt
 import itertools
+import os
 import random
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from conftest import as_stream, rows
 from pyspark.sql import functions as F
@@ -9,7 +12,7 @@ from pyspark.sql import functions as F
 import samples
 from millrace import operators as op
 from millrace.schemas import BANDS, GUITAR_PLAYERS
-from millrace.streaming import run_stream
+from millrace.streaming import progress_frame, run_stream
 
 
 @pytest.fixture(scope="module")
@@ -200,6 +203,56 @@ def test_interval_join_of_bounded_frames(spark, how):
     assert rows(joined) == rows(plain)
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_interval_join_of_zoneless_times_across_a_clock_change(spark, how):
+    left, right = _views_and_buys(spark, hot_share=0.4)
+    moved = F.expr("INTERVAL 69 DAYS")  # 9 to 13 March 2024; New York skips an hour on the 10th
+    left = left.withColumn("v_ts", F.col("v_ts").cast("timestamp_ntz") + moved)
+    right = right.withColumn("b_ts", F.col("b_ts").cast("timestamp_ntz") + moved)
+    left, right = (spark.createDataFrame(side.collect(), side.schema) for side in (left, right))
+    near = (F.col("b_ts") >= F.col("v_ts")) & (F.col("b_ts") <= F.col("v_ts") + F.expr("INTERVAL 2 HOURS"))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        joined = rows(op.join_streams(left, right, "v_user", "b_user", how, **RANGE))
+        plain = rows(left.join(right, (F.col("v_user") == F.col("b_user")) & near, how))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert joined == plain
+
+
+def _in_time_order(spark, df, time_column, folder, cuts):
+    """A stream that delivers the rows in batches of rising time, one file each."""
+    folder.mkdir()
+    ordered = df.orderBy(time_column).toPandas()
+    edges = [ordered[time_column].min() + (ordered[time_column].max() - ordered[time_column].min()) * i / cuts
+             for i in range(1, cuts)]
+    part = ordered[time_column].map(lambda at: sum(at > edge for edge in edges))
+    for number in range(cuts):
+        chunk = spark.createDataFrame(ordered[part == number], df.schema).toPandas()
+        target = folder / f"{number}.parquet"
+        table = pa.Table.from_pandas(chunk, preserve_index=False)
+        fields = [pa.field(f.name, {"bigint": pa.int64(), "int": pa.int32()}.get(
+            f.dataType.simpleString(), pa.timestamp("us", "UTC"))) for f in df.schema]
+        pq.write_table(table.cast(pa.schema(fields)), target)
+        os.utime(target, (1_700_000_000 + number, 1_700_000_000 + number))
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+
+
+@pytest.mark.parametrize("how", ["inner", "full", "left_semi"])
+def test_interval_join_over_many_batches(spark, tmp_path, how):
+    left, right = _views_and_buys(spark, hot_share=0.4)
+    left, right = left.where("v_user is not null"), right.where("b_user is not null")
+    reports = []
+    joined = op.join_streams(
+        _in_time_order(spark, left, "v_ts", tmp_path / "l", 3), _in_time_order(spark, right, "b_ts", tmp_path / "r", 3),
+        "v_user", "b_user", how, hot=[1], salts=3, **RANGE,
+    )
+    stored = run_stream(joined, str(tmp_path / "run"), on_query=lambda q: reports.extend(q.recentProgress))
+    facts = progress_frame(spark, reports).agg(F.count_if(F.col("input_rows") > 0), F.sum("late_rows")).first()
+    assert facts[0] == 3 and facts[1] == 0
+    assert rows(stored) == sorted(_brute_force(left, right, how), key=repr)
+
+
 def test_interval_join_has_no_anti(spark, tmp_path):
     left, right = _views_and_buys(spark, 0.4)
     left, right = as_stream(spark, left, tmp_path), as_stream(spark, right, tmp_path)

@@ -125,5 +125,10 @@ def test_kafka_options(spark):
     }
     with pytest.raises(ValueError, match="at least one"):
         kafka_stream_options("h:1", " , ")
-    with pytest.raises(Exception, match="(?i)failed to find data source: kafka"):
+    with pytest.raises(Exception, match="(?i)failed to find.*kafka"):
         kafka_stream(spark, "h:1", "topic")
+
+
+def test_delta_streams_are_a_pass_through(spark):
+    with pytest.raises(Exception, match="(?i)failed to find.*delta"):
+        read_table(spark, "delta", "/tmp/none", stream=True, ignoreDeletes=True)
