@@ -81,9 +81,10 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
     candidates = [value for value in found if value is not None]
     if not candidates:
         return []
-    limit = df.count() * share
-    counts = df.where(F.col(key).isin(candidates)).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return [row[0] for row in counts.where(F.col("n") > limit).select(key).collect()]
+    candidate = F.when(F.col(key).isin(candidates), F.col(key)).alias("key")
+    counts = df.select(candidate).groupBy("key").agg(F.count(F.lit(1)).alias("n")).collect()
+    limit = share * sum(row.n for row in counts)
+    return [row.key for row in counts if row.key is not None and row.n > limit]
 
 
 def _is_hot(key: str, hot: Sequence) -> Column:
