@@ -1,7 +1,7 @@
 """Running streams to completion, sinks and progress reports."""
 
 from millrace.streaming.progress import ProgressLog, event_time_line, progress_frame, watch
-from millrace.streaming.runner import run_stream, trigger_options
+from millrace.streaming.runner import RunningStream, await_end, run_stream, start_stream, trigger_options
 from millrace.streaming.sinks import (
     RowWriter,
     cassandra_sink,
@@ -17,6 +17,8 @@ from millrace.streaming.sinks import (
 __all__ = [
     "ProgressLog",
     "RowWriter",
+    "RunningStream",
+    "await_end",
     "cassandra_sink",
     "compact",
     "console_sink",
@@ -27,6 +29,7 @@ __all__ = [
     "latest_rows",
     "progress_frame",
     "run_stream",
+    "start_stream",
     "trigger_options",
     "upsert_sink",
     "watch",

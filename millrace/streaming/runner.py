@@ -1,4 +1,4 @@
-"""Run a streaming query until its source is drained and hand back the result.
+"""Start streaming queries, or run them until their source is drained.
 
 Every run keeps its checkpoint and its output in one folder, so calling again with
 the same folder resumes where the last run stopped.
@@ -6,7 +6,8 @@ the same folder resumes where the last run stopped.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,17 +46,24 @@ def await_end(query: StreamingQuery, timeout: int) -> None:
         raise TimeoutError(f"stream still running after {timeout} s")
 
 
-def run_stream(
+@dataclass
+class RunningStream:
+    """A started query and the way to its stored result, usable while it runs."""
+
+    query: StreamingQuery
+    result: Callable[[], DataFrame]
+
+
+def start_stream(
     df: DataFrame,
     folder: str,
     mode: str = "append",
     *,
     keys: Sequence[str] = (),
     finish: Callable[[DataFrame], DataFrame] | None = None,
-    timeout: int = ONE_DAY,
-    on_query: Callable[[StreamingQuery], None] | None = None,
-) -> DataFrame:
-    """Drain ``df`` into Parquet below ``folder`` and read the result back.
+    trigger: Mapping[str, object] | None = None,
+) -> RunningStream:
+    """Start writing ``df`` to Parquet below ``folder``; returns at once.
 
     ``append``   the file sink, whose own log keeps replays from doubling rows.
     ``update``   changed rows of each batch, filed under the batch number; the
@@ -64,7 +72,8 @@ def run_stream(
                  the previous one stays whole while the next is written.
 
     ``finish`` turns a complete result into the frame to store. It runs on a
-    bounded frame, so it may rank, sort or aggregate again.
+    bounded frame, so it may rank, sort or aggregate again. ``trigger`` comes from
+    ``trigger_options``; without one, batches follow each other without a pause.
     """
     if mode not in ("append", "update", "complete"):
         raise ValueError(f"unknown output mode {mode!r}")
@@ -72,34 +81,50 @@ def run_stream(
         raise ValueError("update mode needs the key columns of the result")
     if finish is not None and mode != "complete":
         raise ValueError("finish needs the whole result, so it goes with complete mode only")
-    data, checkpoint = f"{folder}/data", f"{folder}/checkpoint"
-    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(**trigger_options())
+    spark, data = df.sparkSession, f"{folder}/data"
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint")
+    if trigger:
+        writer = writer.trigger(**trigger)
 
     if mode == "append":
         query = writer.format("parquet").option("path", data).start()
-    elif mode == "update":
+        return RunningStream(query, lambda: spark.read.schema(df.schema).parquet(data))
+    if mode == "update":
         query = writer.foreachBatch(upsert_sink(data, keys)).start()
-    else:
-        last: list[tuple[int, StructType]] = []
+        return RunningStream(query, lambda: latest_rows(spark, data, keys, df.schema))
 
-        def store(batch: DataFrame, batch_id: int) -> None:
-            result = batch if finish is None else finish(batch)
-            slot = f"{data}/slot={batch_id % 2}"
-            result.withColumn(BATCH, F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(slot)
-            last[:] = [(batch_id, result.schema)]
+    last: list[tuple[int, StructType]] = []
 
-        query = writer.foreachBatch(store).start()
+    def store(batch: DataFrame, batch_id: int) -> None:
+        result = batch if finish is None else finish(batch)
+        slot = f"{data}/slot={batch_id % 2}"
+        result.withColumn(BATCH, F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(slot)
+        last[:] = [(batch_id, result.schema)]
 
-    await_end(query, timeout)
-    if on_query is not None:
-        on_query(query)
+    query = writer.foreachBatch(store).start()
+    return RunningStream(query, lambda: _last_result(spark, data, last))
 
-    if mode == "append":
-        return df.sparkSession.read.schema(df.schema).parquet(data)
-    if mode == "update":
-        return latest_rows(df.sparkSession, data, keys, df.schema)
-    return _last_result(df.sparkSession, data, last)
+
+def run_stream(
+    df: DataFrame,
+    folder: str,
+    mode: str = "append",
+    *,
+    keys: Sequence[str] = (),
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+    timeout: int = ONE_DAY,
+    on_query: Callable[[StreamingQuery], None] | None = None,
+) -> DataFrame:
+    """Drain the source of ``df`` into ``folder`` and read the result back.
+
+    Modes and ``finish`` are those of ``start_stream``. ``on_query`` sees the ended
+    query, for its progress reports.
+    """
+    running = start_stream(df, folder, mode, keys=keys, finish=finish, trigger=trigger_options())
+    await_end(running.query, timeout)
+    if on_query is not None:
+        on_query(running.query)
+    return running.result()
 
 
 def _last_result(spark: SparkSession, data: str, last: list[tuple[int, StructType]]) -> DataFrame:

@@ -9,7 +9,7 @@ from millrace import operators as op
 from millrace.schemas import CARS
 from millrace.session import run_folder, shared_folder
 from millrace.sources import json_stream, lines_stream
-from millrace.streaming import run_stream, trigger_options
+from millrace.streaming import run_stream, start_stream, trigger_options, watch
 from millrace.streaming.runner import await_end
 
 
@@ -133,6 +133,27 @@ def test_waiting_is_bounded(spark, tmp_path):
     assert not query.isActive
 
 
+@pytest.mark.parametrize("mode", ["append", "update", "complete"])
+def test_a_running_stream_can_be_read(spark, drop, tmp_path, mode):
+    drop("a\nb\na\n")
+    lines = lines_stream(spark, "text", drop.folder)
+    stream = lines if mode == "append" else op.count_by(lines, "value")
+    running = start_stream(
+        stream, str(tmp_path / "run"), mode, keys=["value"], trigger=trigger_options("processing_time", "200 milliseconds")
+    )
+    try:
+        running.query.processAllAvailable()
+        assert rows(running.result()) == ([("a",), ("a",), ("b",)] if mode == "append" else [("a", 2), ("b", 1)])
+        drop("b\n")
+        running.query.processAllAvailable()
+        assert rows(running.result()) == ([("a",)] * 2 + [("b",)] * 2 if mode == "append" else [("a", 2), ("b", 2)])
+        seen = []
+        watch(running.query, times=2, every=0.05, show=seen.append)
+        assert len(seen) == 2
+    finally:
+        running.query.stop()
+
+
 def test_file_sink_is_append_only(spark, words, tmp_path):
     stream = op.count_by(as_stream(spark, words, tmp_path), "word")
     with pytest.raises(Exception, match="(?i)does not support|UNSUPPORTED"):
