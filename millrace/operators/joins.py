@@ -1,5 +1,7 @@
 """Equality joins of tables and streams, safe against hot keys.
 
+Column names of the two sides must differ.
+
 No side is ever forced into a broadcast: Spark broadcasts a side when its size,
 from file statistics or measured at run time, is below
 ``spark.sql.autoBroadcastJoinThreshold``, and shuffles otherwise.
@@ -73,9 +75,10 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
     """Keys holding more than ``share`` of a bounded frame: at most ``1 / share`` of them.
 
     One pass finds candidates with counters of fixed size, which miss no such key
-    and shuffle no list of all keys; a second counts only the candidates. For a
-    true stream take the keys from its history. They shape the state of a
-    stream-stream join, so keep the list unchanged for the life of a checkpoint.
+    and shuffle no list of all keys; a second counts the candidates and the rest, so
+    the driver sees one row per candidate and one more. For a true stream take the
+    keys from its history. They shape the state of a stream-stream join, so keep the
+    list unchanged for the life of a checkpoint.
     """
     found = df.select(F.col(key).alias("key")).freqItems(["key"], share).first()[0]
     candidates = [value for value in found if value is not None]
@@ -93,7 +96,10 @@ def _is_hot(key: str, hot: Sequence) -> Column:
 
 
 def _salted(df: DataFrame, key: str, hot: Sequence, salts: int, name: str) -> DataFrame:
-    """Each row of a hot (or null) key gets one of ``salts`` numbers, other rows 0."""
+    """Each row of a hot (or null) key gets one of ``salts`` numbers, other rows 0.
+
+    The number depends on the row's content alone, so a repeated task deals alike.
+    """
     salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
     return df.withColumn(name, F.when(_is_hot(key, hot), salt).otherwise(F.lit(0).cast("bigint")))
 
@@ -126,7 +132,9 @@ def _stretch(df: DataFrame, time: str, seconds: int) -> Column:
     return at - F.pmod(at, F.lit(seconds))
 
 
-def join_stream_static(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner") -> DataFrame:
+def join_stream_static(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner"
+) -> DataFrame:
     """Join a stream with a bounded frame, given in either order.
 
     The stream is the kept side in every legal form. Such a query holds no state,
@@ -171,7 +179,7 @@ def join_streams(
 
     Copies are made of the side that the join does not keep, so every kept row is
     judged once. A full join keeps both sides; it is a left join plus the unmatched
-    rows of a right join. Column names of the two sides must differ.
+    rows of a right join.
     """
     kind = _kind(how)
     ranged = within is not None

@@ -9,8 +9,15 @@ from millrace import operators as op
 from millrace.schemas import CARS
 from millrace.session import run_folder, shared_folder
 from millrace.sources import json_stream, lines_stream
-from millrace.streaming import run_stream, start_stream, trigger_options, watch
-from millrace.streaming.runner import await_end
+from millrace.streaming import (
+    await_end,
+    latest_rows,
+    run_stream,
+    start_stream,
+    trigger_options,
+    upsert_sink,
+    watch,
+)
 
 
 @pytest.fixture
@@ -182,3 +189,40 @@ def test_streaming_flag(spark, drop):
     drop("x\n")
     assert lines_stream(spark, "text", drop.folder).isStreaming
     assert not spark.range(1).isStreaming
+
+
+def test_a_batch_repeated_after_a_crash_changes_nothing(spark, words, tmp_path):
+    """The table is written, the driver fails before the commit, the batch comes again."""
+    stream, data = as_stream(spark, words, tmp_path), str(tmp_path / "data")
+    write, crash = upsert_sink(data, ["word"], ["n"]), [True]
+
+    def flaky(batch, batch_id):
+        write(batch, batch_id)
+        if crash:
+            crash.pop()
+            raise RuntimeError("driver lost")
+
+    def run():
+        writer = stream.writeStream.foreachBatch(flaky).option("checkpointLocation", str(tmp_path / "c"))
+        await_end(writer.trigger(availableNow=True).start(), 60)
+
+    with pytest.raises(Exception, match="driver lost"):
+        run()
+    run()
+    assert rows(latest_rows(spark, data, ["word"], words.schema, ["n"])) == [("a", 3), ("b", 2)]
+    assert spark.read.parquet(data).count() == 2
+
+
+def test_a_failed_complete_batch_is_done_again(spark, words, tmp_path):
+    crash = [True]
+
+    def finish(batch):
+        if crash:
+            crash.pop()
+            raise RuntimeError("driver lost")
+        return batch
+
+    counts = op.count_by(as_stream(spark, words, tmp_path), "word")
+    with pytest.raises(Exception, match="driver lost"):
+        run_stream(counts, str(tmp_path / "run"), "complete", finish=finish)
+    assert rows(run_stream(counts, str(tmp_path / "run"), "complete", finish=finish)) == [("a", 2), ("b", 1)]
