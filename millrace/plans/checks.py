@@ -69,7 +69,8 @@ ORACLE: dict[str, str] = {
         CAST(0 AS INTEGER) AS "timestampType" FROM events""",
     "kafka_kv": "SELECT upper(p_name) AS key, p_name AS value FROM part",
     "json_build": """SELECT upper(p_name) AS key,
-        CAST(to_json({'p_name': p_name, 'p_size': p_size, 'p_type': p_type}) AS VARCHAR) AS value FROM part""",
+        CAST(json_merge_patch('{}', to_json({'p_name': p_name, 'p_size': p_size, 'p_type': p_type})) AS VARCHAR)
+        AS value FROM part""",
     "msg_default_key": """SELECT CASE WHEN event_type <> 'error' THEN event_type ELSE 'undefined' END AS key,
         props AS value FROM events""",
     "filter_length": _SHORT_NAMES,
@@ -92,7 +93,7 @@ ORACLE: dict[str, str] = {
     "progress_event_time": """SELECT count(*) AS input_rows, CAST(0 AS BIGINT) AS late_rows,
         date_trunc('millisecond', min(ts)) AS min_time, date_trunc('millisecond', max(ts)) AS max_time,
         date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE AS watermark FROM events""",
-    "sink_upsert": """SELECT p_name, arg_max(p_size, p_partkey) AS p_size, max(p_partkey) AS p_partkey
+    "sink_upsert": """SELECT p_name, arg_max_null(p_size, p_partkey) AS p_size, max(p_partkey) AS p_partkey
         FROM part GROUP BY p_name""",
     "sink_row_writer": "SELECT p_name, p_size FROM part",
     "join_inner": _ORDER_CUSTOMER,
