@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.fertility import quality_rules
+from millrace.llm.packing import pack_documents
 from millrace.llm.tables import read
 from millrace.llm.token_counts import count_tokens, over_limit
 
@@ -30,3 +31,9 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base rules and fertility verdict of every document."""
     return quality_rules(read(spark, folder, "documents"))
+
+
+@query
+def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    return pack_documents(read(spark, folder, "documents"))
