@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.fertility import quality_rules
+from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.packing import pack_documents
 from millrace.llm.tables import read
 from millrace.llm.token_counts import count_tokens, over_limit
@@ -37,3 +38,9 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return pack_documents(read(spark, folder, "documents"))
+
+
+@query
+def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate classes of all documents on four-word shingles."""
+    return near_duplicates(read(spark, folder, "documents"), length=4)
