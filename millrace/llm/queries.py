@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.compact_windows import repeated_passages
 from millrace.llm.fertility import quality_rules
 from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.packing import pack_documents
@@ -44,3 +45,9 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate classes of all documents on four-word shingles."""
     return near_duplicates(read(spark, folder, "documents"), length=4)
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of 50 words and more that documents share with earlier ones."""
+    return repeated_passages(read(spark, folder, "documents"))
