@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.compact_windows import repeated_passages
+from millrace.llm.decontamination import contaminated
 from millrace.llm.fertility import quality_rules
 from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.packing import pack_documents
@@ -51,3 +52,9 @@ def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Passages of 50 words and more that documents share with earlier ones."""
     return repeated_passages(read(spark, folder, "documents"))
+
+
+@query
+def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold an item of the benchmark."""
+    return contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
