@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.compact_windows import repeated_passages
 from millrace.llm.decontamination import contaminated
 from millrace.llm.fertility import quality_rules
+from millrace.llm.language_id import language_id
 from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.packing import pack_documents
 from millrace.llm.tables import read
@@ -58,3 +59,15 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that hold an item of the benchmark."""
     return contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+def remainder(key: str, divisor: int) -> Column:
+    """crc32 of the key as text, by which documents are held out of learning."""
+    return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(divisor))
+
+
+@query
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    documents = read(spark, folder, "documents").withColumn("held_out", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)))
+    return language_id(documents, documents.where(~F.col("held_out")), keep=["held_out"])
