@@ -205,7 +205,8 @@ def near_duplicates(
     busy = crowded(distinct)
     members = saved(distinct.join(busy, "id", "left_semi").select("id", "signature").dropDuplicates(["id"]), "members")
     bodies = documents.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("body"))
-    bodies = saved(bodies.join(members.select("id"), "id", "left_semi").dropDuplicates(["id"]), "bodies")
+    wanted = members.select("id").hint("merge")
+    bodies = saved(bodies.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "bodies")
 
     found = spark.createDataFrame([], "node bigint, component bigint")
     seen = spark.createDataFrame([], "a bigint, b bigint, linked boolean")
