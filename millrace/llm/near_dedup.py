@@ -18,6 +18,7 @@ VALUES = 256
 REGIONS, REGION_DEPTH = 16, 3
 ORDERS, SORT_DEPTH, LEAST_DEPTH = 16, 16, 2
 NEIGHBOURS, BEST = 24, 2
+QUIET_ROUNDS = 2
 MARGIN = 0.1
 _SEED = mix(np.arange(1, 2 * VALUES + 1, dtype=np.uint64))
 _XOR = (_SEED[:VALUES] >> np.uint64(32)).astype(np.uint32)[:, None]
@@ -187,7 +188,7 @@ def near_duplicates(
     Equal sets are one node. Documents that share three min-hash values with another one
     (in one of 16 trees; a pair at 0.8 is missed with a chance of 1 in 100,000) go on. In
     rounds of 16 fresh sorted orders each looks for close neighbours outside its component
-    so far; candidates are confirmed on their full sets. Rounds go on until one links
+    so far; candidates are confirmed on their full sets. Rounds go on until two in a row link
     nothing new, so that dense regions get more and deeper orders and quiet ones few. Pairs
     already inside a component are not looked at again.
 
@@ -210,18 +211,20 @@ def near_duplicates(
 
     found = spark.createDataFrame([], "node bigint, component bigint")
     seen = spark.createDataFrame([], "a bigint, b bigint, linked boolean")
-    round_ = 0
-    while True:
+    round_ = quiet = 0
+    while quiet < QUIET_ROUNDS:
         placed = members.join(found, F.col("id") == F.col("node"), "left")
         placed = placed.select("id", F.coalesce("component", "id").alias("component"), "signature")
         pairs = neighbour_pairs(placed, round_, percent / 100)
         fresh = pairs.join(seen, ["a", "b"], "left_anti")
         tested = saved(confirmed(fresh, bodies, length, percent), "tested")
         seen = seen.union(tested)
-        if not tested.where("linked").take(1):
-            break
-        found = saved(components(seen.where("linked").select("a", "b")), "found")
         round_ += 1
+        if tested.where("linked").take(1):
+            quiet = 0
+            found = saved(components(seen.where("linked").select("a", "b")), "found")
+        else:
+            quiet += 1
     found = components(links.union(seen.where("linked").select("a", "b")))
     joined = signed.select("id", "n").join(found, F.col("id") == F.col("node"), "left")
     component = F.coalesce("component", "id")
