@@ -13,6 +13,7 @@ from millrace.llm.fertility import quality_rules
 from millrace.llm.language_id import language_id
 from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.packing import pack_documents
+from millrace.llm.recurrent_lm import score_documents
 from millrace.llm.tables import read
 from millrace.llm.token_counts import count_tokens, over_limit
 
@@ -71,3 +72,10 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from three quarters of them."""
     documents = read(spark, folder, "documents").withColumn("held_out", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)))
     return language_id(documents, documents.where(~F.col("held_out")), keep=["held_out"])
+
+
+@query
+def op8_recurrent_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probability of every document, learned from four fifths of them."""
+    documents = read(spark, folder, "documents").withColumn("held_out", F.coalesce(remainder("doc_id", 5) == 1, F.lit(False)))
+    return score_documents(documents, "held_out")
