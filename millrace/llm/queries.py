@@ -11,11 +11,13 @@ from millrace.llm.compact_windows import repeated_passages
 from millrace.llm.decontamination import contaminated
 from millrace.llm.fertility import quality_rules
 from millrace.llm.language_id import language_id
+from millrace.llm.license_scan import license_notices
 from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.packing import pack_documents
 from millrace.llm.recurrent_lm import score_documents
 from millrace.llm.tables import read
 from millrace.llm.token_counts import count_tokens, over_limit
+from millrace.llm.url_templates import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -79,3 +81,23 @@ def op8_recurrent_lm(spark: SparkSession, folder: str) -> DataFrame:
     """Log probability of every document, learned from four fifths of them."""
     documents = read(spark, folder, "documents").withColumn("held_out", F.coalesce(remainder("doc_id", 5) == 1, F.lit(False)))
     return score_documents(documents, "held_out")
+
+
+RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
+
+
+@query
+def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    return judge_urls(read(spark, folder, "pages"), RULES)
+
+
+@query
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence notices in all documents."""
+    return license_notices(read(spark, folder, "documents"))
