@@ -1,0 +1,189 @@
+"""Token counts, fertility rules and packing against their libraries and brute force."""
+
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from cases import edited, frame, odd, prose
+from millrace.llm.fertility import base_counts, entropy, quality_rules, repeat_words
+from millrace.llm.packing import cut, fullest, minimum_slack, pack_documents, tokenised_pieces
+from millrace.llm.token_counts import count_tokens, over_limit
+from millrace.llm.vocabulary import ByteIds, PieceCounter, PieceIds, path
+
+MIXED = st.text(alphabet=st.sampled_from(list("ab  \n\n\t\r▁é中🙂'sT1.\xa0　​\x1c\x85<>|endoftx")), max_size=60)
+
+
+@pytest.fixture(scope="module")
+def piece_library():
+    sentencepiece = pytest.importorskip("sentencepiece")
+    return sentencepiece.SentencePieceProcessor(model_file=path("piece_bpe_32k.model"))
+
+
+@pytest.fixture(scope="module")
+def byte_library():
+    tokenizers = pytest.importorskip("tokenizers")
+    return tokenizers.Tokenizer.from_file(path("byte_bpe_50k.json"))
+
+
+@pytest.fixture(scope="module")
+def tools():
+    file = path("piece_bpe_32k.model")
+    return PieceCounter(file), PieceIds(file), ByteIds()
+
+
+@settings(max_examples=400, deadline=None)
+@given(MIXED)
+def test_vocabularies_equal_their_libraries(tools, piece_library, byte_library, text):
+    counter, pieces, bytewise = tools
+    expected = piece_library.encode(text)
+    assert counter.count(text) == len(expected)
+    assert np.frombuffer(pieces.ids(text), "<u2").tolist() == expected
+    assert np.frombuffer(bytewise.ids(text), "<u4").tolist() == byte_library.encode(text, add_special_tokens=False).ids
+
+
+def test_added_token_strings_and_long_runs(tools, piece_library, byte_library):
+    for text in ("x <|endoftext|> y", "<s>hi</s>", "a" * 5000, "▁" * 50, "    b", "中文" * 400, "\x00"):
+        assert tools[0].count(text) == len(piece_library.encode(text))
+        assert np.frombuffer(tools[2].ids(text), "<u4").tolist() == byte_library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_full_memory_changes_nothing(piece_library):
+    small = PieceCounter(path("piece_bpe_32k.model"), limit=3)
+    text = prose(1, 200)
+    assert small.count(text) == len(piece_library.encode(text)) and len(small.memo) == 3
+
+
+def test_counts_of_odd_documents(spark, piece_library):
+    rows = odd()
+    found = over_limit(count_tokens(frame(spark, rows))).collect()
+    expected = sorted(
+        ((r[0], len((r[1] or "").encode()), len(piece_library.encode(r[1] or ""))) for r in rows), key=repr
+    )
+    assert sorted(((r[0], r[1], r[2]) for r in found), key=repr) == expected
+    assert all(r.over_limit == (r.n_tokens > 4096) for r in found)
+    assert any(r.over_limit for r in found)
+    assert count_tokens(frame(spark, [])).count() == 0
+
+
+def brute_base(text):
+    words = [w for w in (text or "").encode().split()]
+    lines, seen, again = (text or "").split("\n"), set(), 0
+    for line in lines:
+        if line.encode().split():
+            again += line in seen
+            seen.add(line)
+    triples = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    marked = {i + k for i in range(len(words) - 2) if triples[tuple(words[i : i + 3])] > 1 for k in range(3)}
+    chars = sum(len(w.decode()) for w in words)
+    return len(words), chars, sum(c in "#*$%&|<>" for c in text or ""), again, len(marked)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("ab \n\t#*é\x85\xa0")), max_size=80))
+def test_base_counts_equal_brute_force(text):
+    assert base_counts(text.encode()) == brute_base(text)
+
+
+def test_repeat_words_counts_each_word_once():
+    assert repeat_words(b"a a a a".split()) == 4
+    assert repeat_words(b"a b c x a b c".split()) == 6
+    assert repeat_words(b"a b c".split()) == 0
+    assert entropy(np.array([1, 1, 2, 2])) == 1.0 and entropy(np.array([], np.int64)) == 0.0
+
+
+def test_quality_rules_reject_odd_texts_and_keep_prose(spark):
+    clean = [(i, prose(i, 150)) for i in range(300)]
+    noisy = [(1000 + i, " ".join(f"{w}$$$ ###" for w in prose(500 + i, 120).split())) for i in range(3)]
+    caps = [(2000 + i, prose(600 + i, 120).upper()) for i in range(3)]
+    short = [(3000, prose(1, 49)), (3001, None), (3002, ""), (3003, "x y z " * 40)]
+    found = {r.doc_id: r for r in quality_rules(frame(spark, clean + noisy + caps + short)).collect()}
+    assert len(found) == 310
+    assert sum(found[i].kept for i, _ in clean) >= 297
+    assert not any(found[i].kept for i, _ in noisy + caps + short)
+    assert all(found[i].base_failed for i, _ in short) and not any(found[i].base_failed for i, _ in clean)
+    assert found[3001].n_words == 0 and found[3001].piece_chars is None
+
+
+def test_quality_rules_on_odd_documents(spark):
+    rows = odd()
+    found = quality_rules(frame(spark, rows)).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        expected = next(brute_base(x[1]) for x in rows if x[0] == r.doc_id)
+        assert tuple(r)[1:6] == expected
+        assert r.kept is (not r.base_failed)  # too few texts of a language for a band
+    assert quality_rules(frame(spark, [])).count() == 0
+
+
+def test_cut_puts_the_short_piece_first():
+    assert cut(5, 4) == [(0, 1), (1, 4)] and cut(8, 4) == [(0, 4), (4, 4)] and cut(3, 4) == [(0, 3)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 30), st.lists(st.integers(0, 3), min_size=31, max_size=31))
+def test_fullest_is_the_largest_sum(room, counts):
+    counts[0] = 0
+    used = fullest(room, counts)
+    assert all(0 < times <= counts[length] for length, times in used.items())
+    sums = {0}
+    for length, times in enumerate(counts):
+        sums |= {s + length * k for s in sums for k in range(times + 1) if s + length * k <= room}
+    assert sum(length * times for length, times in used.items()) == max(sums)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.integers(1, 16), st.integers(1, 40), max_size=8))
+def test_minimum_slack_places_every_piece_once(histogram):
+    runs = minimum_slack(histogram, 16)
+    taken = {}
+    for length, count in histogram.items():
+        sequence, offset = runs.place(np.full(count, length), np.arange(count))
+        for s, o in zip(sequence.tolist(), offset.tolist(), strict=True):
+            taken.setdefault(s, []).append((o, length))
+    assert set(taken) == set(range(runs.sequences))
+    for pieces in taken.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 16
+    total = sum(length * count for length, count in histogram.items())
+    assert runs.sequences <= total // 8 + 1  # no two neighbours could share a bin
+
+
+def test_packing_keeps_all_ids_and_fills_sequences(spark, byte_library):
+    rows = odd() + [(100 + i, prose(i, 20 + 7 * (i % 40))) for i in range(200)]
+    docs = frame(spark, rows)
+    found = pack_documents(docs).collect()
+    texts = Counter((k, tuple([*byte_library.encode(t or "", add_special_tokens=False).ids, 2])) for k, t, *_ in rows)
+    by_document = {}
+    for r in found:
+        by_document.setdefault(r.doc_id, []).append(r)
+    for (key, ids), times in texts.items():
+        expected = [
+            (k, start, length, zlib.crc32(np.array(ids[start : start + length], "<u4").tobytes()))
+            for k, (start, length) in enumerate(cut(len(ids), 1024))
+        ]
+        own = Counter((r.piece, r.start, r.length, r.ids_crc32) for r in by_document[key])
+        assert all(own[e] >= times for e in expected)
+    assert sum(r.length for r in found) == sum(len(ids) * times for (_, ids), times in texts.items())
+    sequences = {}
+    for r in found:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    assert len(sequences) <= -(-sum(r.length for r in found) // 1024) + 2
+    assert pack_documents(frame(spark, [])).count() == 0
+    assert all(len(r.ids) == 4 * r.length for r in tokenised_pieces(docs, with_ids=True).take(50))
+
+
+def test_edits_keep_word_number():
+    assert len(edited(prose(1, 50), 3, 5).split()) == 50
