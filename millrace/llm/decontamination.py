@@ -14,8 +14,8 @@ UNITS = (
     "mm cm dm m km in ft yd mi mg g kg t oz lb lbs ml cl l gal s sec min h hr hrs hour hours day days week weeks "
     "month months year years m2 km2 m3 kmh mph k c f w kw v a hz usd eur gbp dollars euros cents percent"
 )
-#: A word with a capital that follows a word, not the end of a sentence.
-NAME_WORD = r"(?<=[\p{L}\p{N}][,;:]? )(\p{Lu}\p{L}*)"
+#: A word that begins with one capital and follows a word, not the end of a sentence.
+NAME_WORD = r"(?<=[\p{L}\p{N}][,;:]? )(\p{Lu}\p{Ll}\p{L}*)"
 MARKS = f"[{NUMBER}{NAME}{UNIT}]"
 
 

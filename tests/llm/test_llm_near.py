@@ -1,0 +1,154 @@
+"""Near-duplicate components, decontamination and the pipeline against brute force."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from cases import edited, frame, odd, prose, row, SCHEMA
+from millrace.llm.components import components, forest
+from millrace.llm.decontamination import contaminated
+from millrace.llm.near_dedup import near_duplicates
+
+import numpy as np
+
+
+def brute_components(docs, length, percent):
+    sets = {}
+    for key, text in docs:
+        raw = (text or "").encode().lower().split()
+        if not raw:
+            sets[key] = frozenset()
+            continue
+        n = min(length, len(raw))
+        sets[key] = frozenset(tuple(raw[i : i + n]) for i in range(len(raw) - n + 1))
+    parent = {k: k for k in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    keys = sorted(sets)
+    for i, a in enumerate(keys):
+        for b in keys[i + 1 :]:
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                parent[max(root(a), root(b))] = min(root(a), root(b))
+    return {k: (len(sets[k]), root(k)) for k in keys}
+
+
+def corpus():
+    docs = [(i, prose(i, 40 + i % 60)) for i in range(120)]
+    docs += [(200 + i, edited(prose(3, 100), i, 1 + i % 8)) for i in range(80)]
+    docs += [(400 + i, prose(50, 90)) for i in range(30)]
+    docs += [(500 + i, f"{prose(60, 45)} {prose(700 + i, 45)}") for i in range(60)]
+    docs += [(600, "a"), (601, "A"), (602, "a b"), (603, None), (604, ""), (605, " "), (606, "a  b\n"), (607, prose(4, 43).upper())]
+    random.Random(1).shuffle(docs)
+    return docs
+
+
+@pytest.mark.parametrize("length", [4, 5])
+def test_components_equal_brute_force(spark, length):
+    docs = corpus()
+    expected = brute_components(docs, length, 80)
+    found = near_duplicates(frame(spark, docs), length=length).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found) and len(found) == len(docs)
+
+
+def test_odd_documents_have_defined_components(spark):
+    rows = odd()
+    found = near_duplicates(frame(spark, rows)).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        expected = 5 if r.doc_id == 6 else r.doc_id
+        assert r.component_id == expected and r.kept == (r.doc_id in (None, expected))
+    assert near_duplicates(frame(spark, [])).count() == 0
+
+
+def test_components_of_long_chains_and_stars(spark):
+    links = [(i + 1, i) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5000, 1020)]
+    random.Random(2).shuffle(links)
+    df = spark.createDataFrame(links, "a long, b long").repartition(7)
+    found = {r.node: r.component for r in components(df).collect()}
+    assert found == {i: 0 for i in range(301)} | {1000 + i: 1000 for i in range(50)} | {5000: 1000}
+    assert components(df.limit(0)).count() == 0
+    a, b = forest(np.array([5, 3, 9]), np.array([3, 1, 8]))
+    assert dict(zip(a.tolist(), b.tolist())) == {5: 1, 3: 1, 9: 8}
+
+
+ITEM = "A train leaves Rome at 12.30 and goes 45 km to Milan before it travels for 45 km more and then the driver takes 3 cups"
+SWAPPED = ITEM.replace("Rome", "Paris").replace("Milan", "Lyon").replace("45", "80").replace("12.30", "9").replace("3 cups", "4 cups")
+BROKEN = ITEM.replace("goes 45 km", "goes 80 km")
+
+
+def items(spark, rows):
+    return spark.createDataFrame([row(*r) for r in rows], SCHEMA).withColumnRenamed("doc_id", "item_id")
+
+
+def test_templates_catch_other_values_but_not_inconsistent_ones(spark):
+    benchmark = items(spark, [(10, ITEM), (11, prose(1, 40)), (12, "too short"), (13, None), (None, ITEM), (14, prose(2, 30)), (14, prose(2, 30))])
+    docs = [
+        (1, f"{prose(3, 50)} word {ITEM} {prose(4, 20)}"),
+        (2, f"{prose(5, 50)} word {SWAPPED} {prose(6, 20)}"),
+        (3, f"{prose(7, 50)} word {BROKEN} {prose(8, 20)}"),
+        (4, prose(9, 300)),
+        (5, f"{prose(10, 30)}. {prose(1, 40).upper()}! {prose(11, 9)}"),
+        (6, " ".join(prose(1, 40).split()[:15])),
+        (7, prose(2, 30)),
+        (7, prose(2, 30)),
+    ]
+    found = contaminated(frame(spark, docs + odd()[:2]), benchmark).collect()
+    by_pair = {(r.doc_id, r.item_id): r for r in found}
+    assert len(by_pair) == len(found)
+    assert set(by_pair) == {(1, 10), (2, 10), (5, 11), (7, 14)}
+    assert by_pair[1, 10].verbatim and not by_pair[2, 10].verbatim
+    assert by_pair[2, 10].coverage == 1.0 and by_pair[2, 10].n_slots >= 5
+
+
+def test_decontamination_of_odd_and_empty_tables(spark):
+    docs = frame(spark, odd())
+    benchmark = items(spark, [(1, prose(7, 80)), (2, None), (3, "")])
+    assert sorted((r.doc_id, r.item_id) for r in contaminated(docs, benchmark).collect()) == [(5, 1), (6, 1)]
+    assert contaminated(frame(spark, []), benchmark).count() == 0
+    assert contaminated(docs, items(spark, [])).count() == 0
+
+
+def test_decontamination_runs_no_python(spark):
+    plan = contaminated(frame(spark, odd()), items(spark, [(1, ITEM)]))._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+def test_pipeline_stages_keep_columns_and_decide(spark, tmp_path):
+    clean = [(i, prose(i, 150)) for i in range(40)]
+    shared = prose(900, 70)
+    extra = [
+        (100, edited(clean[3][1], 1, 2)), (101, clean[4][1]), (102, f"{prose(901, 90)} {shared}"), (103, f"{shared} {prose(902, 90)}"),
+        (104, f"{prose(903, 90)} {prose(905, 40)}"), (105, "too short"), (None, prose(904, 60)), (106, None), (5, clean[5][1]),
+    ]
+    docs = frame(spark, clean + extra)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    items(spark, [(1, prose(905, 40))]).select("item_id", "text").write.parquet(f"{tmp_path}/benchmark.parquet")
+    at = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        result = stage(spark, at, str(tmp_path))
+        assert result.columns == docs.columns
+        result.write.parquet(f"{tmp_path}/{name}")
+        at = spark.read.parquet(f"{tmp_path}/{name}")
+        kept[name] = sorted(at.select("doc_id", "text").collect(), key=repr)
+    ids = {name: [r[0] for r in rows] for name, rows in kept.items()}
+    assert {105, 106}.isdisjoint(ids["quality_rules"]) and {*range(40), 100, 101, 102, 103, 104, None} == set(ids["quality_rules"])
+    assert {100, 101}.isdisjoint(ids["near_dedup"]) and ids["near_dedup"].count(5) == 1
+    texts = dict(kept["substring_dedup"])
+    assert texts[102] == f"{prose(901, 90)} {shared}" and texts[103] == f" {prose(902, 90)}"
+    assert set(ids["decontamination"]) == {*range(40), 102, 103, None}
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in packed} == set(ids["decontamination"])
+    assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    frame(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    items(spark, []).write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
