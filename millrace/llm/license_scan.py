@@ -63,7 +63,7 @@ class Scanner:
         self.names = list(templates)
         self.words = [self.split(t) for t in templates.values()]
         self.given = [
-            ZstdCompressor(dict_data=ZstdCompressionDict(t.encode(), dict_type=DICT_TYPE_RAWCONTENT), **quiet)
+            ZstdCompressor(dict_data=ZstdCompressionDict(t.lower().encode(), dict_type=DICT_TYPE_RAWCONTENT), **quiet)
             for t in templates.values()
         ]
 
@@ -73,7 +73,7 @@ class Scanner:
 
     def ranked(self, block: str) -> list[tuple[float, int]]:
         """Share of the compressed size that each template saves, the largest first."""
-        raw = block.encode("utf-8", "surrogatepass")
+        raw = block.lower().encode("utf-8", "surrogatepass")
         alone = len(self.plain.compress(raw))
         saving = [(1 - len(c.compress(raw)) / alone, k) for k, c in enumerate(self.given)]
         return sorted(saving, key=lambda s: (-s[0], s[1]))
@@ -120,7 +120,7 @@ def license_notices(
     """One row per notice found: ``key``, ``license``, ``start``, ``saving``, ``wording``, ``missing``.
 
     Candidate blocks are sentences with a licence word and runs of such sentences. Each is
-    compressed alone and with each template as raw dictionary; templates are ranked by the
+    compressed in lower case, alone and with each template as raw dictionary; templates are ranked by the
     share of the size saved, and the best three are confirmed by the words they have in
     common with the block, in order: ``wording`` is the share of the template's words found
     and ``missing`` the number not found. A licence is reported once per document, at its
