@@ -5,6 +5,7 @@ from millrace.operators.filters import above, differs_from
 from millrace.operators.joins import (
     STREAM_JOINS,
     hot_keys,
+    hot_layout,
     join_stream_static,
     join_streams,
     join_tables,
@@ -29,6 +30,7 @@ __all__ = [
     "count_where",
     "differs_from",
     "hot_keys",
+    "hot_layout",
     "join_stream_static",
     "join_streams",
     "join_tables",

@@ -9,12 +9,18 @@ from file statistics or measured at run time, is below
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
+from millrace.streaming.layout import StateLayout
+
+#: Spark's counters take no smaller share.
+LEAST_SHARE = 1.01e-4
+
 HOW = {
     "inner": "inner",
     "left": "left",
@@ -51,43 +57,92 @@ def _require(pairing: str, kind: str) -> None:
         raise ValueError(f"{kind} join is not possible {pairing}; possible: {allowed}")
 
 
-def join_tables(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner") -> DataFrame:
+def join_tables(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    how: str = "inner",
+    *,
+    hot: Sequence = (),
+    salts: int = 8,
+) -> DataFrame:
     """Join two bounded frames on one equality.
 
-    Adaptive execution splits a hot key of the kept (left) side of inner, left,
-    semi and anti joins. It cannot split the left side of a right or full join, so
-    those are put together from forms it can split: the inner or left join, plus
-    the right rows whose key the left side lacks. Keys looked up by a semi or anti
-    join are made distinct first, which leaves one row per task of a hot key.
+    Without ``hot`` this is Spark's own join, each side read once. Adaptive execution
+    splits a hot key of either side of an inner join and of the kept side of left, right,
+    semi and anti joins. Of the keys that a semi or anti join looks up, few rows per key go
+    into its shuffle.
+
+    Keys named in ``hot`` (see ``hot_keys``) are dealt over ``salts`` groups without the
+    help of adaptive execution: rows of the kept side get a salt, those of the other side
+    a copy per salt. A full join with hot keys is the left join and, in a second pass, the
+    right rows without a partner.
     """
     kind = _kind(how)
-    same = F.col(left_key) == F.col(right_key)
-    if kind in ("inner", "left"):
-        return left.join(right, same, kind)
     if kind in ("left_semi", "left_anti"):
-        return left.join(right.select(right_key).distinct(), same, kind)
-    unmatched = right.join(left.select(left_key).distinct(), same, "left_anti")
-    matched = left.join(right, same, "inner" if kind == "right" else "left")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+        right = _few(right, right_key)
+    if not hot:
+        return left.join(right, F.col(left_key) == F.col(right_key), kind)
+    if kind == "full":
+        matched = _salted_join(left, right, left_key, right_key, "left", hot, salts)
+        lone = _salted_join(right, _few(left, left_key), right_key, left_key, "left_anti", hot, salts)
+        return matched.unionByName(lone, allowMissingColumns=True)
+    if kind == "right":
+        return _salted_join(right, left, right_key, left_key, "left", hot, salts).select(*left.columns, *right.columns)
+    return _salted_join(left, right, left_key, right_key, kind, hot, salts)
+
+
+def _salted_join(
+    kept: DataFrame, other: DataFrame, kept_key: str, other_key: str, kind: str, hot: Sequence, salts: int
+) -> DataFrame:
+    columns = kept.columns if kind in ("left_semi", "left_anti") else kept.columns + other.columns
+    dealt = _salted(kept, kept_key, hot, salts, "_lsalt")
+    copied = _replicated(other, other_key, hot, salts, "_rsalt")
+    same = (F.col(kept_key) == F.col(other_key)) & (F.col("_lsalt") == F.col("_rsalt"))
+    return dealt.join(copied, same, kind).select(*columns)
+
+
+def _few(df: DataFrame, key: str, groups: int = 16) -> DataFrame:
+    """The keys of a frame, each at most ``groups`` times.
 
+    Distinct per key and a hash of the row, not per key alone: the join after it then has
+    a shuffle of its own, whose hot partitions adaptive execution can split.
+    """
+    group = F.pmod(F.xxhash64(*_hashable(df)), F.lit(groups)) if _hashable(df) else F.lit(0)
+    return df.select(F.col(key), group.alias("_group")).distinct().select(key)
+
+
+def _hashable(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
+
+def hot_keys(df: DataFrame, key: str, share: float | None = None) -> list:
     """Keys holding more than ``share`` of a bounded frame: at most ``1 / share`` of them.
 
-    One pass finds candidates with counters of fixed size, which miss no such key
-    and shuffle no list of all keys; a second counts the candidates and the rest, so
-    the driver sees one row per candidate and one more. For a true stream take the
-    keys from its history. They shape the state of a stream-stream join, so keep the
-    list unchanged for the life of a checkpoint.
+    By default a key counts as hot if it would fill more than half of a shuffle partition's
+    fair part. One pass finds candidates with counters of fixed size, which miss no such
+    key and shuffle no list of all keys; a second counts the candidates and the rest, so
+    the driver sees one row per candidate and one more. Filter the frame to the rows that
+    take part in the join first. For a true stream take the keys from its history.
     """
+    return list(hot_layout(df, key, share).hot)
+
+
+def hot_layout(df: DataFrame, key: str, share: float | None = None) -> StateLayout:
+    """Hot keys of a bounded frame and the number of salts that brings each below half a partition's part."""
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(share if share is not None else 0.5 / width, LEAST_SHARE)
     found = df.select(F.col(key).alias("key")).freqItems(["key"], share).first()[0]
     candidates = [value for value in found if value is not None]
     if not candidates:
-        return []
+        return StateLayout()
     candidate = F.when(F.col(key).isin(candidates), F.col(key)).alias("key")
     counts = df.select(candidate).groupBy("key").agg(F.count(F.lit(1)).alias("n")).collect()
-    limit = share * sum(row.n for row in counts)
-    return [row.key for row in counts if row.key is not None and row.n > limit]
+    total = sum(row.n for row in counts)
+    hot = {row.key: row.n / total for row in counts if row.key is not None and row.n > share * total}
+    salts = min(2 * width, math.ceil(max(hot.values()) / share)) if hot else 1
+    return StateLayout(tuple(sorted(hot)), salts)
 
 
 def _is_hot(key: str, hot: Sequence) -> Column:
@@ -100,7 +155,7 @@ def _salted(df: DataFrame, key: str, hot: Sequence, salts: int, name: str) -> Da
 
     The number depends on the row's content alone, so a repeated task deals alike.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
+    salt = F.pmod(F.xxhash64(*(_hashable(df) or [F.lit(0)])), F.lit(salts))
     return df.withColumn(name, F.when(_is_hot(key, hot), salt).otherwise(F.lit(0).cast("bigint")))
 
 
@@ -144,7 +199,7 @@ def join_stream_static(
     kind = _kind(how)
     _require("stream-static" if left.isStreaming else "static-stream", kind)
     if kind in ("left_semi", "left_anti"):
-        right = right.select(right_key).distinct()
+        right = _few(right, right_key)
     return left.join(right, F.col(left_key) == F.col(right_key), kind)
 
 

@@ -54,8 +54,33 @@ ORACLE: dict[str, str] = {
         o_totalprice AS value FROM orders""",
     "src_json_stream": _CAR_COLUMNS,
     "src_json_inferred": _CAR_COLUMNS,
-    "src_range": "SELECT row_number() OVER () AS number FROM lineitem",
-    "rdd_double": "SELECT 2 * row_number() OVER () AS doubled FROM lineitem",
+    "src_range": """SELECT l_orderkey, unnest(generate_series(CAST(1 AS BIGINT), CAST(l_linenumber AS BIGINT)))
+        AS number FROM lineitem""",
+    "rdd_double": "SELECT CAST(l_orderkey AS BIGINT) * 2 AS doubled FROM lineitem",
+    "src_recursive": "SELECT p_partkey, p_name FROM part",
+    "lines_top1": _top(_DAY_ITEM),
+    "lines_static_inner": _ORDER_CUSTOMER,
+    "lines_stream_inner": _ORDER_CUSTOMER,
+    "files_json_messages": """SELECT upper(p_name) AS key, CAST(json_merge_patch('{}', to_json({'Name': p_name,
+        'Weight_in_lbs': p_size, 'Origin': p_type})) AS VARCHAR) AS value FROM part""",
+    "ckpt_new_run": "SELECT o_orderkey FROM orders UNION ALL SELECT o_orderkey FROM orders",
+    "trigger_processing_time": "SELECT p_partkey, p_size FROM part",
+    "sink_json": "SELECT p_partkey, p_name, p_size FROM part",
+    "sink_csv": "SELECT p_partkey, p_name, p_size FROM part",
+    "late_rows": """WITH w AS (SELECT *, date_trunc('hour', ts) AS "start", date_trunc('hour', ts) + INTERVAL 1 HOUR AS "end"
+        FROM events WHERE ts IS NOT NULL),
+        mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE AS closed FROM w WHERE event_id % 2 = 0),
+        kept AS (SELECT * FROM w WHERE event_id % 2 = 0 OR "end" > (SELECT closed FROM mark))
+        SELECT "start", "end", event_type, count(*) AS "count",
+        CAST((SELECT count(*) FROM w) > (SELECT count(*) FROM kept) AS INTEGER) AS late FROM kept
+        WHERE "end" <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM kept) GROUP BY ALL""",
+    "batch_wm_count": """SELECT date_trunc('hour', ts) AS "start", date_trunc('hour', ts) + INTERVAL 1 HOUR AS "end",
+        event_type, count(*) AS "count" FROM events GROUP BY ALL""",
+    "batch_interval_inner": _INTERVAL_SIDES + "SELECT * FROM pairs",
+    "batch_interval_right": _INTERVAL_SIDES
+    + "SELECT * FROM pairs UNION ALL "
+    + _LONE_B.replace("lone_b", _EVERY_LONE_B),
+    "batch_interval_semi": _INTERVAL_SIDES + "SELECT * FROM c WHERE click_id IN (SELECT click_id FROM pairs)",
     "proj_columns": "SELECT p_name, p_brand FROM part",
     "proj_arith": _WEIGHT.format(digits=6),
     "proj_expr": _WEIGHT.format(digits=4),

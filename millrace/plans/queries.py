@@ -9,17 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import functions as fn
 from millrace import operators as op
 from millrace.plans.sql import run_sql
 from millrace.schemas import CARS, STOCK_DATE_FORMAT, STOCKS
-from millrace.session import run_folder
-from millrace.sources import csv_stream, json_stream, lines_stream, numbers, read_table, table, table_stream
-from millrace.streaming import latest_rows, progress_frame, run_stream, upsert_sink
-from millrace.streaming.runner import ONE_DAY, await_end
+from millrace.session import full_uri, run_folder
+from millrace.sources import csv_stream, json_stream, lines_stream, read_table, table, table_stream
+from millrace.streaming import latest_rows, run_stream, start_stream, state_layout, stored_progress, trigger_options, upsert_sink
+from millrace.streaming.layout import StateLayout
+from millrace.streaming.runner import await_end
 from millrace.streaming.sinks import ParquetConnection, RowWriter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,12 +50,56 @@ def backlog(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A stored table as a stream, in micro-batches of bounded size.
 
     For queries whose result is the same for any cut into batches. Queries with a
-    watermark read the table in one batch instead, as files need not lie in time
-    order and rows of a late file would be dropped.
+    watermark are fed in stretches of time instead (``drained_in_slices``), as files need
+    not lie in time order and rows of a late file would be dropped.
     """
     return table_stream(spark, folder, name, max_bytes_per_trigger=BATCH_BYTES)
 
 
+SLICES, SLICE_ROWS = 3, 100_000_000
+
+
+def time_slices(events: DataFrame, time: str) -> list[Column]:
+    """Conditions that cut a table into stretches of time of about equal size, oldest first."""
+    slices = max(SLICES, -(-events.count() // SLICE_ROWS))
+    at = F.unix_micros(F.col(time).cast("timestamp"))
+    shares = [k / slices for k in range(1, slices)]
+    bounds = sorted(set(events.select(F.percentile_approx(at, shares, 10_000)).first()[0] or []))
+    edges = [None, *bounds, None]
+    cuts = []
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
+        above = at > low if low is not None else F.lit(True)
+        cuts.append(above & (at <= high) if high is not None else above | at.isNull())
+    return cuts
+
+
+def drained_in_slices(
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    build: Callable[[DataFrame, str], DataFrame],
+    cuts: list[Column] | None = None,
+    *,
+    watch: Callable[[str], None] | None = None,
+    **options: object,
+) -> DataFrame:
+    """Feed the events to a query with a watermark one stretch of time after the other.
+
+    Each stretch is one run over the same checkpoint. The watermark moves on between runs
+    and closed windows and rows past their range leave the state, so the state holds one
+    stretch and not the table. No row is late, as stretches follow each other in time,
+    however the files lie. ``build`` gets the stream and the run folder.
+    """
+    events, place = table(spark, folder, "events"), run_folder(spark, name)
+    for number, cut in enumerate(cuts if cuts is not None else time_slices(events, "ts")):
+        events.where(cut).write.parquet(f"{place}/in/part-{number}")
+        stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).parquet(f"{place}/in")
+        stored = run_stream(build(_zoned(stream), f"{place}/run"), f"{place}/run", **options)
+    if watch is not None:
+        watch(f"{place}/run")
+    return stored
+
+
 def purchases(events: DataFrame) -> DataFrame:
     """Events in the shape of purchase records."""
     return events.select(
@@ -123,12 +168,74 @@ def src_json_inferred(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def src_range(spark: SparkSession, folder: str) -> DataFrame:
-    return numbers(spark, table(spark, folder, "lineitem").count())
+    """The range from 1 to each line's number."""
+    lines = table(spark, folder, "lineitem")
+    return lines.select("l_orderkey", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("l_linenumber").cast("bigint"))).alias("number"))
 
 
 @query
 def rdd_double(spark: SparkSession, folder: str) -> DataFrame:
-    return src_range(spark, folder).select((F.col("number") * 2).alias("doubled"))
+    return table(spark, folder, "lineitem").select((F.col("l_orderkey").cast("bigint") * 2).alias("doubled"))
+
+
+@query
+def src_recursive(spark: SparkSession, folder: str) -> DataFrame:
+    """Files two folders down, read with a recursive lookup and the path as an option."""
+    place = run_folder(spark, "nested")
+    part = table(spark, folder, "part").select("p_partkey", "p_name")
+    for number in range(2):
+        part.where(F.col("p_partkey") % 2 == number).write.json(f"{place}/deep/level-{number}")
+    return read_table(spark, "json", schema="p_partkey BIGINT, p_name STRING", path=place, recursiveFileLookup=True)
+
+
+def _json_lines(spark: SparkSession, rows: DataFrame, name: str) -> str:
+    """Rows as a folder of JSON lines."""
+    path = run_folder(spark, name)
+    rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).write.text(path)
+    return path
+
+
+@query
+def lines_top1(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON lines to records to day windows to the best item of each day."""
+    bought = purchases(table(spark, folder, "events"))
+    lines = lines_stream(spark, "text", _json_lines(spark, bought, "purchase_lines"))
+    records = fn.expand(fn.json_records(lines, bought.schema, "purchase"), "purchase")
+    totals = op.window_totals(records, "time", "1 day", "quantity", keys=["item"])
+    return rounded(drained(totals, "lines_top1", "complete", finish=lambda day: op.top_per_window(day, "item")))
+
+
+@query
+def lines_static_inner(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of JSON lines, parsed with the inferred schema of a static read, joined with a table."""
+    path = _json_lines(spark, _customers(table(spark, folder, "customer")), "customer_lines")
+    known = read_table(spark, "json", path)
+    records = fn.json_records(lines_stream(spark, "text", path), known.schema, "customer")
+    picked = fn.pick_fields(records, "customer", {"c_custkey": "c_custkey", "c_name": "c_name", "c_nationkey": "c_nationkey"})
+    joined = op.join_stream_static(picked, _orders(table(spark, folder, "orders")), "c_custkey", "o_custkey")
+    return drained(joined, "lines_static_inner").withColumn("c_nationkey", F.col("c_nationkey").cast("int"))
+
+
+@query
+def lines_stream_inner(spark: SparkSession, folder: str) -> DataFrame:
+    """Two streams of JSON lines joined on a key."""
+    sides = []
+    for rows in (_orders(table(spark, folder, "orders")), _customers(table(spark, folder, "customer"))):
+        lines = lines_stream(spark, "text", _json_lines(spark, rows, "side_lines"))
+        sides.append(fn.expand(fn.json_records(lines, rows.schema, "row"), "row"))
+    place = run_folder(spark, "lines_stream_inner")
+    layout = state_layout(spark, place, lambda: op.hot_layout(table(spark, folder, "orders"), "o_custkey"))
+    joined = op.join_streams(
+        *sides, "o_custkey", "c_custkey", unbounded_state=True, hot=layout.hot, salts=layout.salts
+    )
+    return run_stream(joined, place, layout=layout)
+
+
+@query
+def files_json_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of JSON files to key and JSON messages."""
+    stream = json_stream(spark, _car_files(spark, folder), CARS)
+    return drained(fn.to_json_kv(stream, "Name", ["Name", "Weight_in_lbs", "Origin"]), "files_json_messages")
 
 
 # --- projections and messages ------------------------------------------------
@@ -317,13 +424,62 @@ def ckpt_no_reread(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def progress_event_time(spark: SparkSession, folder: str) -> DataFrame:
-    reports: list = []
-    counts = op.late_safe_counts(
-        _zoned(table_stream(spark, folder, "events")), "ts", "event_type", "10 minutes", "1 hour"
+def ckpt_new_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs with a checkpoint each: both read everything."""
+    rows = [drained(backlog(spark, folder, "orders").select("o_orderkey"), "ckpt_new_run") for _ in range(2)]
+    return rows[0].union(rows[1])
+
+
+@query
+def trigger_processing_time(spark: SparkSession, folder: str) -> DataFrame:
+    """A running query that starts a batch every two seconds, stopped when all is read."""
+    running = start_stream(
+        backlog(spark, folder, "part").select("p_partkey", "p_size"),
+        run_folder(spark, "trigger_processing_time"),
+        trigger=trigger_options("processing_time", "2 seconds"),
     )
-    drained(counts, "progress_event_time", on_query=lambda q: reports.extend(q.recentProgress))
-    return progress_frame(spark, reports).agg(
+    running.query.processAllAvailable()
+    running.query.stop()
+    return running.result()
+
+
+@query
+def sink_json(spark: SparkSession, folder: str) -> DataFrame:
+    return drained(backlog(spark, folder, "part").select("p_partkey", "p_name", "p_size"), "sink_json", fmt="json")
+
+
+@query
+def sink_csv(spark: SparkSession, folder: str) -> DataFrame:
+    return drained(backlog(spark, folder, "part").select("p_partkey", "p_name", "p_size"), "sink_csv", fmt="csv")
+
+
+@query
+def late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Even events first, then the odd ones, most of which come after their windows closed.
+
+    ``late`` is 1 if the reports tell of rows that the watermark has turned away. Their
+    number there is that of sums per task, not of rows.
+    """
+    places: list[str] = []
+    even = F.col("event_id") % 2 == 0
+    stored = drained_in_slices(
+        spark, folder, "late_rows", _hourly_counts, [even, ~even], watch=places.append, progress=True
+    )
+    late = stored_progress(spark, places[0]).agg(F.sum("late_rows")).first()[0] or 0
+    stored = stored.withColumns({name: F.col(name).cast(NTZ) for name in ("start", "end")})
+    return stored.withColumn("late", F.lit(int(late > 0)))
+
+
+def _hourly_counts(events: DataFrame, place: str) -> DataFrame:
+    return op.late_safe_counts(events, "ts", "event_type", "10 minutes", "1 hour")
+
+
+@query
+def progress_event_time(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals over the filed reports of all batches."""
+    places: list[str] = []
+    drained_in_slices(spark, folder, "progress_event_time", _hourly_counts, watch=places.append, progress=True)
+    return stored_progress(spark, places[0]).agg(
         F.sum("input_rows").alias("input_rows"),
         F.sum("late_rows").alias("late_rows"),
         F.min("min_time").cast(NTZ).alias("min_time"),
@@ -347,13 +503,13 @@ def sink_upsert(spark: SparkSession, folder: str) -> DataFrame:
         .trigger(availableNow=True)
         .start()
     )
-    await_end(started, ONE_DAY)
+    await_end(started)
     return latest_rows(spark, f"{place}/data", ["p_name"], rows.schema, ["p_partkey"])
 
 
 @query
 def sink_row_writer(spark: SparkSession, folder: str) -> DataFrame:
-    place = run_folder(spark, "sink_row_writer")
+    place = full_uri(spark, run_folder(spark, "sink_row_writer"))
     rows = backlog(spark, folder, "part").select("p_name", "p_size")
     shape = pa.schema([("p_name", pa.string()), ("p_size", pa.int32())])
     writer = RowWriter(lambda part, batch: ParquetConnection(f"{place}/data", shape, part, batch))
@@ -363,7 +519,7 @@ def sink_row_writer(spark: SparkSession, folder: str) -> DataFrame:
         .trigger(availableNow=True)
         .start()
     )
-    await_end(started, ONE_DAY)
+    await_end(started)
     return spark.read.schema(rows.schema).parquet(f"{place}/data")
 
 
@@ -475,15 +631,18 @@ def ss_static_anti(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_stream_inner(spark: SparkSession, folder: str) -> DataFrame:
+    place = run_folder(spark, "stream_stream_inner")
+    layout = state_layout(spark, place, lambda: op.hot_layout(table(spark, folder, "orders"), "o_custkey"))
     joined = op.join_streams(
         _orders(backlog(spark, folder, "orders")),
         _customers(backlog(spark, folder, "customer")),
         "o_custkey",
         "c_custkey",
         unbounded_state=True,
-        hot=op.hot_keys(table(spark, folder, "orders"), "o_custkey"),
+        hot=layout.hot,
+        salts=layout.salts,
     )
-    return drained(joined, "stream_stream_inner")
+    return run_stream(joined, place, layout=layout)
 
 
 def _zoned(events: DataFrame) -> DataFrame:
@@ -503,20 +662,31 @@ def _buys(events: DataFrame) -> DataFrame:
     )
 
 
+def _user_layout(spark: SparkSession, folder: str) -> StateLayout:
+    """Hot users among the events that the click and purchase joins take."""
+    events = table(spark, folder, "events").where("event_type IN ('click', 'purchase')")
+    return op.hot_layout(events, "user_id")
+
+
 def _click_then_buy(spark: SparkSession, folder: str, how: str) -> DataFrame:
-    joined = op.join_streams(
-        _clicks(_zoned(table_stream(spark, folder, "events"))),
-        _buys(_zoned(table_stream(spark, folder, "events"))),
-        "c_user",
-        "b_user",
-        how,
-        left_time="c_ts",
-        right_time="b_ts",
-        within=TWO_HOURS,
-        delay="10 minutes",
-        hot=op.hot_keys(table(spark, folder, "events"), "user_id"),
-    )
-    stored = drained(joined, f"stream_interval_{how}")
+    def build(events: DataFrame, place: str) -> DataFrame:
+        layout = state_layout(spark, place, lambda: measured)
+        return op.join_streams(
+            _clicks(events),
+            _buys(events),
+            "c_user",
+            "b_user",
+            how,
+            left_time="c_ts",
+            right_time="b_ts",
+            within=TWO_HOURS,
+            delay="10 minutes",
+            hot=layout.hot,
+            salts=layout.salts,
+        )
+
+    measured = _user_layout(spark, folder)
+    stored = drained_in_slices(spark, folder, f"stream_interval_{how}", build, layout=measured)
     return stored.withColumns({name: F.col(name).cast(NTZ) for name in ("c_ts", "b_ts") if name in stored.columns})
 
 
@@ -560,8 +730,10 @@ def win_tumbling_sum(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def win_best_seller(spark: SparkSession, folder: str) -> DataFrame:
-    ranked = op.best_sellers(purchases(backlog(spark, folder, "events")))
-    return rounded(drained(ranked, "win_best_seller", "complete"))
+    """Sorted when read back: neither the state nor the stored files keep an order."""
+    totals = op.window_totals(purchases(backlog(spark, folder, "events")), "time", "1 day", "quantity", keys=["item"])
+    largest_first = [F.col("total").desc_nulls_last()]
+    return rounded(drained(totals, "win_best_seller", "complete", order_by=largest_first))
 
 
 @query
@@ -611,25 +783,18 @@ def proc_time_chars(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def wm_count(spark: SparkSession, folder: str) -> DataFrame:
-    counts = op.late_safe_counts(
-        _zoned(table_stream(spark, folder, "events")), "ts", "event_type", "10 minutes", "1 hour"
-    )
-    stored = drained(counts, "wm_count")
+    stored = drained_in_slices(spark, folder, "wm_count", _hourly_counts)
     return stored.withColumns({name: F.col(name).cast(NTZ) for name in ("start", "end")})
 
 
 @query
 def win_sliding_append(spark: SparkSession, folder: str) -> DataFrame:
-    totals = op.sliding_totals_closed(
-        _zoned(table_stream(spark, folder, "events")),
-        "ts",
-        "1 day",
-        "1 hour",
-        "value",
-        delay="10 minutes",
-        keys=["event_type"],
-    )
-    stored = rounded(drained(totals, "win_sliding_append"))
+    def build(events: DataFrame, place: str) -> DataFrame:
+        return op.sliding_totals_closed(
+            events, "ts", "1 day", "1 hour", "value", delay="10 minutes", keys=["event_type"]
+        )
+
+    stored = rounded(drained_in_slices(spark, folder, "win_sliding_append", build))
     return stored.withColumns({name: F.col(name).cast(NTZ) for name in ("start", "end")})
 
 
@@ -664,7 +829,7 @@ def batch_top1_sliding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _click_then_buy_batch(spark: SparkSession, folder: str, how: str) -> DataFrame:
-    events = table(spark, folder, "events")
+    events, layout = table(spark, folder, "events"), _user_layout(spark, folder)
     return op.join_streams(
         _clicks(events),
         _buys(events),
@@ -674,10 +839,32 @@ def _click_then_buy_batch(spark: SparkSession, folder: str, how: str) -> DataFra
         left_time="c_ts",
         right_time="b_ts",
         within=TWO_HOURS,
-        hot=op.hot_keys(events, "user_id"),
+        hot=layout.hot,
+        salts=layout.salts,
     )
 
 
+@query
+def batch_wm_count(spark: SparkSession, folder: str) -> DataFrame:
+    """All windows, those included that the stream still holds back."""
+    return _hourly_counts(table(spark, folder, "events"), "")
+
+
+@query
+def batch_interval_inner(spark: SparkSession, folder: str) -> DataFrame:
+    return _click_then_buy_batch(spark, folder, "inner")
+
+
+@query
+def batch_interval_right(spark: SparkSession, folder: str) -> DataFrame:
+    return _click_then_buy_batch(spark, folder, "right")
+
+
+@query
+def batch_interval_semi(spark: SparkSession, folder: str) -> DataFrame:
+    return _click_then_buy_batch(spark, folder, "left_semi")
+
+
 @query
 def batch_interval_left(spark: SparkSession, folder: str) -> DataFrame:
     return _click_then_buy_batch(spark, folder, "left")

@@ -70,3 +70,50 @@ def shared_folder(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new, never reused path below the shared folder for one run."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _hadoop(spark: SparkSession, path: str) -> tuple:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def full_uri(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and host that Spark resolves it to, the same on every executor."""
+    _, fs, target = _hadoop(spark, path)
+    return fs.makeQualified(target).toUri().toString()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    _, fs, target = _hadoop(spark, path)
+    return bool(fs.exists(target))
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small file in any file system Spark knows; None if there is none."""
+    jvm, fs, target = _hadoop(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file as a whole, replacing what was there."""
+    _, fs, target = _hadoop(spark, path)
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a run folder below the shared folder once its result is no longer needed."""
+    if not full_uri(spark, path).startswith(full_uri(spark, shared_folder(spark)).rstrip("/") + "/"):
+        raise ValueError(f"{path} is not below the shared folder")
+    _, fs, target = _hadoop(spark, path)
+    fs.delete(target, True)

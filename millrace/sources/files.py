@@ -65,15 +65,15 @@ def table_stream(
 ) -> DataFrame:
     """The same table as a stream.
 
-    The path is a glob because a stream cannot start from a plain file path; it
-    matches a single file and a folder of part files alike. The schema comes from
-    the table's footer, since streams do not infer one. ``max_bytes_per_trigger``
+    It reads the location that ``table`` reads, a file or a folder of part files. The
+    path is a glob because a stream cannot start from a plain file path. The schema comes
+    from the table's footer, since streams do not infer one. ``max_bytes_per_trigger``
     cuts a large backlog into micro-batches of bounded size.
     """
     reader = spark.readStream.schema(table(spark, folder, name).schema)
     if max_bytes_per_trigger is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return reader.parquet(f"{folder}/{{{name}.parquet,{name}}}")
+    return reader.parquet(f"{folder}/{{{name}.parquet}}")
 
 
 def numbers(spark: SparkSession, count: int, column: str = "number") -> DataFrame:

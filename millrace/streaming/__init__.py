@@ -1,6 +1,7 @@
 """Running streams to completion, sinks and progress reports."""
 
-from millrace.streaming.progress import ProgressLog, event_time_line, progress_frame, watch
+from millrace.streaming.layout import StateLayout, check_layout, state_layout
+from millrace.streaming.progress import ProgressFiles, ProgressLog, event_time_line, progress_frame, stored_progress, watch
 from millrace.streaming.runner import RunningStream, await_end, run_stream, start_stream, trigger_options
 from millrace.streaming.sinks import (
     RowWriter,
@@ -15,11 +16,14 @@ from millrace.streaming.sinks import (
 )
 
 __all__ = [
+    "ProgressFiles",
     "ProgressLog",
     "RowWriter",
     "RunningStream",
+    "StateLayout",
     "await_end",
     "cassandra_sink",
+    "check_layout",
     "compact",
     "console_sink",
     "event_time_line",
@@ -30,6 +34,8 @@ __all__ = [
     "progress_frame",
     "run_stream",
     "start_stream",
+    "state_layout",
+    "stored_progress",
     "trigger_options",
     "upsert_sink",
     "watch",

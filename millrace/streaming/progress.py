@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 import time
 from collections import deque
 from collections.abc import Callable
@@ -12,17 +13,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from millrace.session import write_text
+
 FIELDS = (
     "batch_id BIGINT, input_rows BIGINT, min_time STRING, avg_time STRING, max_time STRING, "
     "watermark STRING, late_rows BIGINT, state_rows BIGINT"
 )
+REPORT = (
+    "batchId BIGINT, numInputRows BIGINT, eventTime STRUCT<min: STRING, avg: STRING, max: STRING, watermark: STRING>, "
+    "stateOperators ARRAY<STRUCT<numRowsDroppedByWatermark: BIGINT, numRowsTotal: BIGINT>>"
+)
 TIMES = ("min_time", "avg_time", "max_time", "watermark")
 
 
 def progress_frame(spark: SparkSession, reports: list[Any]) -> DataFrame:
     """One row per reported batch, from ``query.recentProgress`` or a ``ProgressLog``.
 
-    Both hold a bounded number of reports, whatever the data volume.
+    Both keep only the newest reports. For totals over a whole run file every report
+    (``run_stream(..., progress=True)``) and read them with ``stored_progress``.
     """
     frame = spark.createDataFrame([_report_row(json.loads(report.json)) for report in reports], FIELDS)
     return frame.withColumns({name: F.col(name).cast("timestamp") for name in TIMES})
@@ -62,6 +70,60 @@ def watch(
             return
 
 
+REPORTS = "progress"
+
+
+class ProgressFiles(StreamingQueryListener):
+    """Files every report of a query below its folder, one small file per batch.
+
+    Use as a context around start and end of the query. On leaving it waits until the
+    query's end has been reported, after which no report can follow.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder
+        self.run: str | None = None
+        self.done = threading.Event()
+
+    def __enter__(self) -> ProgressFiles:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        if error[0] is None:
+            self.done.wait(60)
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event: Any) -> None:
+        self.run = self.run or str(event.runId)
+
+    def onQueryProgress(self, event: Any) -> None:
+        report = event.progress
+        if str(report.runId) == self.run:
+            name = f"{report.batchId}-{self.run}"
+            write_text(self.spark, f"{self.folder}/{REPORTS}/{name}.json", json.dumps(json.loads(report.json)))
+
+    def onQueryIdle(self, event: Any) -> None:
+        pass
+
+    def onQueryTerminated(self, event: Any) -> None:
+        if str(event.runId) == self.run:
+            self.done.set()
+
+
+def stored_progress(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per report filed in ``folder``, over all its runs, as in ``progress_frame``."""
+    text = spark.read.text(f"{folder}/{REPORTS}", wholetext=True)
+    report = F.from_json("value", REPORT).alias("r")
+    return text.select(report).select(
+        F.col("r.batchId").alias("batch_id"),
+        F.col("r.numInputRows").alias("input_rows"),
+        *(F.col(f"r.eventTime.{short}").cast("timestamp").alias(name) for short, name in zip(("min", "avg", "max", "watermark"), TIMES, strict=True)),
+        F.aggregate("r.stateOperators.numRowsDroppedByWatermark", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("late_rows"),
+        F.aggregate("r.stateOperators.numRowsTotal", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("state_rows"),
+    )
+
+
 class ProgressLog(StreamingQueryListener):
     """Keeps the newest reports of all queries of a session."""
 

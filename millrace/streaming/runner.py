@@ -7,17 +7,18 @@ the same folder resumes where the last run stopped.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
+from millrace.streaming.layout import StateLayout, check_layout
+from millrace.streaming.progress import ProgressFiles
 from millrace.streaming.sinks import BATCH, latest_rows, upsert_sink
 
-ONE_DAY = 24 * 3600
-
 
 def trigger_options(kind: str = "available_now", interval: str | None = None) -> dict[str, object]:
     """Arguments for ``writeStream.trigger``; ``default`` means no trigger call."""
@@ -34,10 +35,10 @@ def trigger_options(kind: str = "available_now", interval: str | None = None) ->
     raise ValueError(f"unknown trigger {kind!r}")
 
 
-def await_end(query: StreamingQuery, timeout: int) -> None:
-    """Wait at most ``timeout`` seconds; a query still running then is stopped."""
+def await_end(query: StreamingQuery, timeout: int | None = None) -> None:
+    """Wait for the end; with ``timeout`` (seconds) a query still running then is stopped."""
     try:
-        finished = query.awaitTermination(timeout)
+        finished = query.awaitTermination(timeout) if timeout is not None else query.awaitTermination() or True
     except BaseException:
         query.stop()
         raise
@@ -62,6 +63,9 @@ def start_stream(
     keys: Sequence[str] = (),
     finish: Callable[[DataFrame], DataFrame] | None = None,
     trigger: Mapping[str, object] | None = None,
+    order_by: Sequence[Column | str] = (),
+    layout: StateLayout | None = None,
+    fmt: str = "parquet",
 ) -> RunningStream:
     """Start writing ``df`` to Parquet below ``folder``; returns at once.
 
@@ -72,8 +76,11 @@ def start_stream(
                  the previous one stays whole while the next is written.
 
     ``finish`` turns a complete result into the frame to store. It runs on a
-    bounded frame, so it may rank, sort or aggregate again. ``trigger`` comes from
-    ``trigger_options``; without one, batches follow each other without a pause.
+    bounded frame, so it may rank or aggregate again. ``order_by`` sorts the result when
+    it is read: stored files keep no order. ``trigger`` comes from ``trigger_options``;
+    without one, batches follow each other without a pause. ``fmt`` is the file format of
+    append mode. ``layout`` is the hot-key layout the frame was built with: it must be the
+    one that the folder was first started with.
     """
     if mode not in ("append", "update", "complete"):
         raise ValueError(f"unknown output mode {mode!r}")
@@ -82,16 +89,21 @@ def start_stream(
     if finish is not None and mode != "complete":
         raise ValueError("finish needs the whole result, so it goes with complete mode only")
     spark, data = df.sparkSession, f"{folder}/data"
+    check_layout(spark, folder, layout)
+
+    def ordered(result: DataFrame) -> DataFrame:
+        return result.orderBy(*order_by) if order_by else result
+
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint")
     if trigger:
         writer = writer.trigger(**trigger)
 
     if mode == "append":
-        query = writer.format("parquet").option("path", data).start()
-        return RunningStream(query, lambda: spark.read.schema(df.schema).parquet(data))
+        query = writer.format(fmt).option("path", data).start()
+        return RunningStream(query, lambda: ordered(spark.read.schema(df.schema).format(fmt).load(data)))
     if mode == "update":
-        query = writer.foreachBatch(upsert_sink(data, keys)).start()
-        return RunningStream(query, lambda: latest_rows(spark, data, keys, df.schema))
+        query = writer.foreachBatch(upsert_sink(data, keys, unique=True)).start()
+        return RunningStream(query, lambda: ordered(latest_rows(spark, data, keys, df.schema)))
 
     last: list[tuple[int, StructType]] = []
 
@@ -102,7 +114,7 @@ def start_stream(
         last[:] = [(batch_id, result.schema)]
 
     query = writer.foreachBatch(store).start()
-    return RunningStream(query, lambda: _last_result(spark, data, last))
+    return RunningStream(query, lambda: ordered(_last_result(spark, data, last)))
 
 
 def run_stream(
@@ -112,16 +124,24 @@ def run_stream(
     *,
     keys: Sequence[str] = (),
     finish: Callable[[DataFrame], DataFrame] | None = None,
-    timeout: int = ONE_DAY,
+    timeout: int | None = None,
     on_query: Callable[[StreamingQuery], None] | None = None,
+    order_by: Sequence[Column | str] = (),
+    layout: StateLayout | None = None,
+    fmt: str = "parquet",
+    progress: bool = False,
 ) -> DataFrame:
     """Drain the source of ``df`` into ``folder`` and read the result back.
 
-    Modes and ``finish`` are those of ``start_stream``. ``on_query`` sees the ended
-    query, for its progress reports.
+    Other arguments are those of ``start_stream``. ``on_query`` sees the ended query.
+    ``progress`` files every report below ``folder``, for ``stored_progress``.
     """
-    running = start_stream(df, folder, mode, keys=keys, finish=finish, trigger=trigger_options())
-    await_end(running.query, timeout)
+    log = ProgressFiles(df.sparkSession, folder) if progress else nullcontext()
+    with log:
+        running = start_stream(
+            df, folder, mode, keys=keys, finish=finish, trigger=trigger_options(), order_by=order_by, layout=layout, fmt=fmt
+        )
+        await_end(running.query, timeout)
     if on_query is not None:
         on_query(running.query)
     return running.result()

@@ -60,23 +60,22 @@ def jdbc_sink(
     driver: str | None = None,
     user: str | None = None,
     password: str | None = None,
-    max_connections: int = 32,
+    max_connections: int | None = None,
     rows_per_insert: int = 10_000,
     batch_column: str | None = None,
 ) -> BatchWriter:
     """``foreachBatch`` body that appends each micro-batch to a database table.
 
-    Executors write in parallel, one connection per partition and at most
-    ``max_connections`` in all. A batch may be repeated after a crash; with
+    Executors write in parallel, one connection per partition. ``max_connections`` limits
+    them by joining partitions, which slows large batches down. A batch may be repeated after a crash; with
     ``batch_column`` the batch number is stored so that the reader can tell.
     """
     options: dict[str, object] = {
         "url": url,
         "dbtable": table,
-        "numPartitions": max_connections,
         "batchsize": rows_per_insert,
     }
-    for name, value in (("driver", driver), ("user", user), ("password", password)):
+    for name, value in (("driver", driver), ("user", user), ("password", password), ("numPartitions", max_connections)):
         if value is not None:
             options[name] = value
 
@@ -111,15 +110,17 @@ def cassandra_sink(
     return write
 
 
-def upsert_sink(path: str, keys: Sequence[str], order_by: Sequence[str] = ()) -> BatchWriter:
+def upsert_sink(path: str, keys: Sequence[str], order_by: Sequence[str] = (), *, unique: bool = False) -> BatchWriter:
     """``foreachBatch`` body for a table with a primary key.
 
     A batch is filed under its number and never merged into what is stored, so
     writing costs the batch and not the table, and a repeated batch replaces its
     own files. ``latest_rows`` resolves the newest row per key. ``order_by`` names
-    columns that decide between rows of one key; without it a batch must not hold
-    a key twice.
+    columns that decide between rows of one key. It may be left out only for batches
+    that hold no key twice, such as grouped results, which ``unique`` states.
     """
+    if not order_by and not unique:
+        raise ValueError("name order_by columns, or state with unique=True that no batch holds a key twice")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = _newest(batch, keys, list(order_by)) if order_by else batch
@@ -246,8 +247,11 @@ class InsertConnection:
 class ParquetConnection:
     """Rows into one Parquet file per partition and batch below a shared folder.
 
-    The file gets its name only on commit, and a repeated chunk takes the same
-    name, so readers see each chunk once.
+    ``folder`` is a full URI (``full_uri``), so that every executor writes to the shared
+    file system. The file gets its name only on commit, and the same chunk repeated takes
+    the same name. A batch repeated with other partitions leaves the files of both tries:
+    where that matters, deal the rows by content into a fixed number of partitions first,
+    or use Spark's own Parquet sink, which keeps a log.
     """
 
     def __init__(self, folder: str, schema: Any, partition_id: int, batch_id: int) -> None:
@@ -256,7 +260,11 @@ class ParquetConnection:
         import pyarrow.parquet as pq
         from pyarrow.fs import FileSystem
 
-        self._fs, base = FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        if ":/" not in folder:
+            raise ValueError(f"{folder} names no file system; pass full_uri(spark, folder)")
+        if folder.startswith("file:"):
+            folder = "file:///" + folder.removeprefix("file:").lstrip("/")
+        self._fs, base = FileSystem.from_uri(folder)
         self._fs.create_dir(base, recursive=True)
         self._target = f"{base}/batch-{batch_id}-part-{partition_id}.parquet"
         self._draft = f"{base}/_draft-{uuid.uuid4().hex}"

@@ -36,7 +36,7 @@ def plain(value):
     return value.isoformat() if isinstance(value, (dt.date, dt.datetime)) else repr(value)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
     frame = entry_points.queries()[name](spark, FOLDER)
     result = duck.execute(entry_points.oracle_sql()[name])
