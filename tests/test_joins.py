@@ -44,7 +44,7 @@ def test_join_tables(players, bands, how, count):
 
 
 def test_anti_join_finds_the_player_without_a_band(players, bands):
-    assert rows(op.join_tables(players, bands, "band", "band_id", "anti"), "name") == [("Eric Clapton",)]
+    assert rows(op.join_tables(players, bands, "band", "band_id", "anti"), "name") == [("Cleo Marsh",)]
 
 
 @pytest.mark.parametrize("how", KINDS)
@@ -66,7 +66,7 @@ def test_no_forced_broadcast(spark, players, bands):
         plan = op.join_tables(players, bands, "band", "band_id", "full")._jdf.queryExecution().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" not in plan and "FullOuter" not in plan
+    assert "BroadcastHashJoin" not in plan and plan.count("FullOuter") > 0
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])

@@ -1,0 +1,87 @@
+"""Results over many batches and restarts: order, progress totals, state layout, file places."""
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_points
+from millrace import operators as op
+from millrace.session import path_exists, remove_folder, run_folder
+from millrace.sources import table, table_stream
+from millrace.streaming import StateLayout, run_stream, state_layout, stored_progress
+
+
+def test_the_flagship_comes_back_sorted_from_eight_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        totals = [r.total for r in entry_points.entry(spark).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert totals == sorted(totals, reverse=True) and len(totals) > 8
+
+
+def numbered(spark, folder, files):
+    spark.range(files).selectExpr("id", "timestamp_seconds(id * 3600) as t").repartition(files, "id").write.parquet(folder)
+    return spark.readStream.schema("id BIGINT, t TIMESTAMP").option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def test_progress_totals_know_every_batch(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        stream = numbered(spark, str(tmp_path / "in"), 12).withWatermark("t", "1 hour")
+        kept = []
+        run_stream(stream, str(tmp_path / "run"), progress=True, on_query=lambda q: kept.append(len(q.recentProgress)))
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert kept[0] <= 3
+    total = stored_progress(spark, str(tmp_path / "run")).agg(F.sum("input_rows"), F.min("min_time"), F.max("max_time")).first()
+    assert total[0] == 12 and total[1].hour == 0 and total[2].hour == 11
+
+
+def test_another_state_layout_is_refused(spark, tmp_path):
+    place = str(tmp_path / "run")
+    spark.range(10).selectExpr("id as a").write.parquet(str(tmp_path / "a"))
+    spark.range(10).selectExpr("id as b").write.parquet(str(tmp_path / "b"))
+
+    def run(layout):
+        left = spark.readStream.schema("a BIGINT").parquet(str(tmp_path / "a"))
+        right = spark.readStream.schema("b BIGINT").parquet(str(tmp_path / "b"))
+        joined = op.join_streams(left, right, "a", "b", unbounded_state=True, hot=layout.hot if layout else (), salts=4)
+        return run_stream(joined, place, layout=layout)
+
+    first = state_layout(spark, place, lambda: StateLayout((1,), 4))
+    assert run(first).count() == 10
+    spark.range(10).selectExpr("id as b").write.mode("append").parquet(str(tmp_path / "b"))
+    for other in (StateLayout((), 4), StateLayout((1,), 5), None):
+        with pytest.raises(ValueError, match="state layout"):
+            run(other)
+    again = state_layout(spark, place, lambda: StateLayout((), 1))
+    assert again == first and run(again).count() == 20
+
+
+def test_table_and_stream_read_the_same_place(spark, tmp_path):
+    folder = str(tmp_path)
+    spark.range(10).write.parquet(f"{folder}/x.parquet")
+    spark.range(10).write.parquet(f"{folder}/x")
+    streamed = run_stream(table_stream(spark, folder, "x"), f"{folder}/run")
+    assert rows(streamed) == rows(table(spark, folder, "x"))
+
+
+def test_run_folders_can_be_removed(spark, tmp_path):
+    place = run_folder(spark, "gone")
+    spark.range(3).write.parquet(f"{place}/data")
+    remove_folder(spark, place)
+    assert not path_exists(spark, place)
+    with pytest.raises(ValueError, match="shared"):
+        remove_folder(spark, str(tmp_path))
+
+
+def test_state_shrinks_between_stretches_of_time(spark):
+    from millrace.plans import queries
+
+    places = []
+    queries.drained_in_slices(spark, "/root/testdata/sf0.001", "state", queries._hourly_counts, watch=places.append, progress=True)
+    states = [r.state_rows for r in stored_progress(spark, places[0]).orderBy("batch_id").collect()]
+    whole = queries.batch_wm_count(spark, "/root/testdata/sf0.001").count() if hasattr(queries, "batch_wm_count") else 0
+    assert len(states) >= 3 and states[-1] < max(states) < whole

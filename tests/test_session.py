@@ -31,10 +31,11 @@ import sys
 sys.path.insert(0, {root!r})  # the driver knows the package, its Python workers do not
 import pyarrow as pa
 from millrace import build_session, run_folder
+from millrace.session import full_uri
 from millrace.streaming import RowWriter, await_end
 from millrace.streaming.sinks import ParquetConnection
 spark = build_session("w", "local[2]", conf={{"spark.ui.enabled": "false"}}, shuffle_partitions=2)
-place = run_folder(spark, "w")
+place = full_uri(spark, run_folder(spark, "w"))
 spark.range(3).write.parquet(place + "/in")
 shape = pa.schema([("id", pa.int64())])
 writer = RowWriter(lambda part, batch: ParquetConnection(place + "/out", shape, part, batch))

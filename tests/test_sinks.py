@@ -15,6 +15,7 @@ from millrace.streaming import (
     latest_rows,
     upsert_sink,
 )
+from millrace.session import full_uri
 from millrace.streaming.runner import await_end
 from millrace.streaming.sinks import InsertConnection, ParquetConnection
 
@@ -92,7 +93,7 @@ def test_jdbc_sink_appends_each_batch():
         "format": "jdbc",
         "mode": "append",
         "options": {
-            "url": "jdbc:x", "dbtable": "public.cars", "numPartitions": 32, "batchsize": 10_000,
+            "url": "jdbc:x", "dbtable": "public.cars", "batchsize": 10_000,
             "driver": "d", "user": "u", "password": "p",
         },
         "saved": True,
@@ -150,7 +151,9 @@ def test_upsert_keeps_the_newest_row_per_key(spark, tmp_path):
 
 
 def test_later_batch_wins_without_an_order(spark, tmp_path):
-    write = upsert_sink(str(tmp_path / "t"), ["k"])
+    with pytest.raises(ValueError, match="order_by"):
+        upsert_sink(str(tmp_path / "t"), ["k"])
+    write = upsert_sink(str(tmp_path / "t"), ["k"], unique=True)
     write(spark.createDataFrame([("x", 1), ("y", 1)], "k STRING, v INT"), 0)
     write(spark.createDataFrame([("x", None)], "k STRING, v INT"), 1)
     schema = spark.createDataFrame([], "k STRING, v INT").schema
@@ -201,11 +204,12 @@ def test_row_writer_rolls_back_and_skips():
     skipping.close(None)
 
 
-def test_row_writer_runs_once_per_partition_and_batch(spark, cars, tmp_path):
+@pytest.mark.parametrize("form", ["file:{}", "file://{}"])
+def test_row_writer_runs_once_per_partition_and_batch(form, spark, cars, tmp_path):
     import pyarrow as pa
 
     shape = pa.schema([("Name", pa.string()), ("Horsepower", pa.int64())])
-    place = str(tmp_path / "o")
+    place = form.format(tmp_path / "o")
     path = str(tmp_path / "in")
     cars.repartition(3).write.parquet(path)
     stream = spark.readStream.schema(cars.schema).option("maxFilesPerTrigger", 1).parquet(path)
@@ -224,5 +228,12 @@ def test_row_writer_runs_once_per_partition_and_batch(spark, cars, tmp_path):
     assert run("c2") == rows(cars)  # all batches repeated onto the same names
 
 
+def test_row_writer_wants_a_full_uri(spark, tmp_path):
+    with pytest.raises(ValueError, match="file system"):
+        ParquetConnection(str(tmp_path), None, 0, 0)
+    for path in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        assert full_uri(spark, path).startswith("file:/") and full_uri(spark, path).endswith(str(tmp_path))
+
+
 def test_purchase_schema_is_readable(spark):
     assert spark.createDataFrame([], PURCHASES).columns == ["id", "time", "item", "quantity"]

@@ -1,0 +1,103 @@
+"""Hot keys in table joins: split by adaptive execution, or dealt over salts."""
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from millrace import operators as op
+
+KINDS = ["inner", "left", "right", "full", "left_semi", "left_anti"]
+SMALL = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "8",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+}
+
+
+@pytest.fixture
+def settings(spark):
+    before = {k: spark.conf.get(k, None) for k in SMALL}
+    for k, v in SMALL.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def side(spark, name, count, hot, missing):
+    """``count`` rows, a third of them with key 1 if ``hot``; keys from ``missing`` on have no partner."""
+    key = F.when(F.lit(hot) & (F.col("id") % 3 == 0), F.lit(1)).otherwise(F.col("id") % 50 + missing)
+    return spark.range(count, numPartitions=6).select(
+        key.cast("long").alias(f"{name}_key"), F.col("id").alias(f"{name}_id"), F.sha2(F.col("id").cast("string"), 256).alias(f"{name}_pad")
+    )
+
+
+def planned(df):
+    """The final plan of the frame, which has run once."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("kind", ["inner", "left", "left_semi", "left_anti"])
+def test_adaptive_execution_splits_a_hot_left_key(spark, settings, kind):
+    left, right = side(spark, "l", 30_000, True, 0), side(spark, "r", 40, False, 20)
+    assert "skew=true" in planned(op.join_tables(left, right, "l_key", "r_key", kind))
+
+
+def test_adaptive_execution_splits_a_hot_right_key(spark, settings):
+    left, right = side(spark, "l", 40, False, 20), side(spark, "r", 30_000, True, 0)
+    assert "skew=true" in planned(op.join_tables(left, right, "l_key", "r_key", "right"))
+
+
+@pytest.mark.parametrize("kind", KINDS)
+@pytest.mark.parametrize("sides", [(True, False), (False, True), (True, True)])
+def test_salted_joins_give_the_same_rows(spark, settings, kind, sides):
+    left, right = side(spark, "l", 120, sides[0], 0), side(spark, "r", 90, sides[1], 20)
+    expected = left.join(right, left.l_key == right.r_key, kind)
+    assert rows(op.join_tables(left, right, "l_key", "r_key", kind)) == rows(expected)
+    assert rows(op.join_tables(left, right, "l_key", "r_key", kind, hot=[1], salts=5)) == rows(expected)
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_salts_spread_a_hot_key_without_adaptive_execution(spark, settings, kind):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        kept = "r" if kind == "right" else "l"
+        left, right = side(spark, "l", 3000 if kept == "l" else 40, kept == "l", 0), side(spark, "r", 3000 if kept == "r" else 40, kept == "r", 20)
+        joined = op.join_tables(left, right, "l_key", "r_key", kind, hot=[1], salts=64)
+        if kind in ("left_semi", "inner"):
+            right = right.withColumn("r_key", F.col("r_key") - 20)
+            joined = op.join_tables(left, right, "l_key", "r_key", kind, hot=[1], salts=64)
+        parts = joined.where(F.col(f"{kept}_key") == 1).groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) >= 6 and max(p["count"] for p in parts) < 0.5 * sum(p["count"] for p in parts)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_native_joins_read_each_side_once(spark, settings):
+    left, right = side(spark, "l", 40, False, 0), side(spark, "r", 40, False, 20)
+    for kind in ("right", "full"):
+        plan = op.join_tables(left, right, "l_key", "r_key", kind)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Range (") == 2
+
+
+def test_hot_keys_follow_the_shuffle_width(spark, settings):
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    df = spark.range(20_000).select(F.when(F.col("id") % 111 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.lit(1).alias("v"))
+    layout = op.hot_layout(df, "k")
+    assert layout.hot == (-1,) and layout.salts == 4
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert op.hot_layout(df, "k").hot == ()
+    assert op.hot_keys(df.limit(0), "k") == []
+
+
+def test_map_columns_may_take_part(spark, settings):
+    left = side(spark, "l", 60, True, 0).withColumn("m", F.create_map(F.lit("a"), F.col("l_id")))
+    right = side(spark, "r", 20, False, 0)
+    joined = op.join_streams(left, right, "l_key", "r_key", hot=[1], salts=4)
+    assert joined.count() == left.join(right, left.l_key == right.r_key).count()
+    assert op.join_tables(right, left, "r_key", "l_key", "left_semi").count() > 0
