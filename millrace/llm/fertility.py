@@ -14,6 +14,7 @@ from millrace.llm.text import SPACE, text_buffer, texts
 from millrace.llm.vocabulary import ByteIds, PieceIds, path, worker_memory
 
 SYMBOLS = b"#*$%&|<>"
+MEMO = 600_000
 CONTINUATION = bytes(range(0x80, 0xC0))
 MEASURES = {
     "piece_chars": "both",
@@ -22,6 +23,8 @@ MEASURES = {
     "byte_fallback": "upper",
     "piece_entropy": "both",
 }
+#: Rows of one language are dealt over so many groups when they meet its bands.
+SALTS = 32
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens"]
 
 
@@ -31,9 +34,17 @@ def repeat_words(words: list[bytes]) -> int:
     if n < 4:
         return 0
     number: dict[bytes, int] = {}
-    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, n)
-    pairs = np.unique(ids[:-1] * n + ids[1:], return_inverse=True)[1]
-    triples, times = np.unique(pairs[:-1] * n + ids[2:], return_inverse=True, return_counts=True)[1:]
+    ids = np.fromiter([number.setdefault(w, len(number)) for w in words], np.int64, n)
+    pairs = ids[:-1] * n + ids[1:]
+    if n >= 1 << 21:  # three numbers of this size no longer fit 63 bits
+        pairs = np.unique(pairs, return_inverse=True)[1]
+        runs = pairs[:-1] * n + ids[2:]
+    else:
+        runs = pairs[:-1] * n + ids[2:]
+    ordered = np.sort(runs)
+    if not (ordered[1:] == ordered[:-1]).any():
+        return 0
+    triples, times = np.unique(runs, return_inverse=True, return_counts=True)[1:]
     twice = np.zeros(n + 3, np.int64)
     hit = np.flatnonzero(times[triples] > 1)
     np.add.at(twice, hit, 1)
@@ -57,8 +68,8 @@ def entropy(ids: np.ndarray) -> float:
     """Bits per token of the text's own token distribution."""
     if not len(ids):
         return 0.0
-    share = np.bincount(ids)
-    share = share[share > 0] / len(ids)
+    ordered = np.sort(ids)
+    share = np.diff(np.r_[0, np.flatnonzero(ordered[1:] != ordered[:-1]) + 1, len(ids)]) / len(ids)
     return float(-(share * np.log2(share)).sum())
 
 
@@ -71,8 +82,8 @@ def measure(documents: DataFrame, keys: list[str], text: str = "text", *, folder
     """
 
     def make():
-        pieces = worker_memory(("piece ids", folder), lambda: PieceIds(path("piece_bpe_32k.model", folder)))
-        bytewise = worker_memory(("byte ids", folder), lambda: ByteIds(folder))
+        pieces = worker_memory(("piece ids", folder), lambda: PieceIds(path("piece_bpe_32k.model", folder), MEMO))
+        bytewise = worker_memory(("byte ids", folder), lambda: ByteIds(folder, MEMO))
 
         def row(text: str, raw: bytes) -> tuple:
             base = base_counts(raw)
@@ -147,7 +158,10 @@ def quality_rules(
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     found = saved(found.withColumn("base_failed", failed), "fertility")
     limits = bands(found, "_lang", width, least)
-    joined = found.join(limits, F.col("_lang") == F.col("_group"), "left")
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    limits = limits.select("*", F.explode(salts).alias("_limit_salt"))
+    found = found.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)))
+    joined = found.join(limits, (F.col("_lang") == F.col("_group")) & (F.col("_salt") == F.col("_limit_salt")), "left")
     scale = F.sqrt(1 + F.lit(short) / F.greatest(F.col("n_tokens"), F.lit(1)))
     odd = F.lit(False)
     for name, side in MEASURES.items():
