@@ -12,8 +12,12 @@ import statistics
 import tempfile
 import time
 
+from pyspark.sql import functions as F
+
 from millrace import build_session
+from millrace.operators import hot_layout, join_tables
 from millrace.plans.queries import QUERIES
+from millrace.sources import table
 
 HEADLINE = [
     "src_csv_stream",
@@ -50,6 +54,24 @@ HEADLINE = [
     "batch_top1_sliding",
     "batch_interval_left",
     "batch_interval_full",
+    "lines_top1",
+    "lines_static_inner",
+    "lines_stream_inner",
+    "files_json_messages",
+    "late_rows",
+    "progress_event_time",
+    "join_left",
+    "join_semi",
+    "ss_static_semi",
+    "ss_static_anti",
+    "stream_interval_right",
+    "stream_interval_semi",
+    "batch_wm_count",
+    "batch_interval_inner",
+    "batch_interval_right",
+    "batch_interval_semi",
+    "mode_append_rows",
+    "sink_row_writer",
 ]
 
 
@@ -59,6 +81,17 @@ def timed(spark, name: str, folder: str) -> float:
     return time.perf_counter() - start
 
 
+def skewed_join(spark, folder: str) -> float:
+    """Orders, a third of which belong to one customer, joined with customers over salts."""
+    orders = table(spark, folder, "orders")
+    orders = orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("o_custkey")))
+    start = time.perf_counter()
+    layout = hot_layout(orders, "o_custkey")
+    joined = join_tables(orders, table(spark, folder, "customer"), "o_custkey", "c_custkey", "left", hot=layout.hot, salts=layout.salts)
+    joined.write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - start
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -78,6 +111,9 @@ def main() -> None:
     for name in names:
         timed(spark, name, folder)
         seconds[name] = round(statistics.median(timed(spark, name, folder) for _ in range(runs)), 3)
+    if not os.environ.get("BENCH_ONLY"):
+        skewed_join(spark, folder)
+        seconds["skewed_join_left"] = round(statistics.median(skewed_join(spark, folder) for _ in range(runs)), 3)
     spark.stop()
     print(
         json.dumps(
