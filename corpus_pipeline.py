@@ -37,10 +37,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows with a null key all stay.
     """
-    kept = keyed(docs, near_duplicates(docs).where("NOT kept"), "left_anti")
+    gone = saved(near_duplicates(docs).where("NOT kept").select("doc_id"), "near_duplicates")
     again = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     again = saved(again.select("doc_id"), "repeated_keys")
-    return keyed(kept, again, "left_anti").union(keyed(kept, again, "left_semi").dropDuplicates(["doc_id"]))
+    once = keyed(docs, gone.union(again), "left_anti")
+    return once.union(keyed(keyed(docs, again, "left_semi"), gone, "left_anti").dropDuplicates(["doc_id"]))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
