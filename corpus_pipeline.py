@@ -21,15 +21,19 @@ from millrace.llm.tables import read, saved
 ORACLE_SQL = None
 
 
-def keyed(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """The documents whose key is (left_semi) or is not (left_anti) among ``ids``."""
+def keyed(docs: DataFrame, ids: DataFrame, how: str, *, many: bool = False) -> DataFrame:
+    """The documents whose key is (left_semi) or is not (left_anti) among ``ids``.
+
+    ``many`` says that the ids grow with the documents: they are then never broadcast.
+    """
     wanted = ids.select(F.col("doc_id").alias("__id")).distinct()
+    wanted = wanted.hint("merge") if many else wanted
     return docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")), how)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie inside the fertility bands of their language."""
-    return keyed(docs, quality_rules(docs).where("NOT kept"), "left_anti")
+    return keyed(docs, quality_rules(docs).where("NOT kept"), "left_anti", many=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +44,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     gone = saved(near_duplicates(docs).where("NOT kept").select("doc_id"), "near_duplicates")
     again = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     again = saved(again.select("doc_id"), "repeated_keys")
-    once = keyed(docs, gone.union(again), "left_anti")
+    once = keyed(docs, gone.union(again), "left_anti", many=True)
     return once.union(keyed(keyed(docs, again, "left_semi"), gone, "left_anti").dropDuplicates(["doc_id"]))
 
 
