@@ -32,8 +32,16 @@ def keyed(docs: DataFrame, ids: DataFrame, how: str, *, many: bool = False) -> D
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and lie inside the fertility bands of their language."""
-    return keyed(docs, quality_rules(docs).where("NOT kept"), "left_anti", many=True)
+    """Documents that pass the base rules and lie inside the fertility bands of their language.
+
+    The verdict holds for key, text and language together, not for other rows of the key.
+    """
+    mark = F.xxhash64("text", "lang", F.isnull("text"), F.isnull("lang"))
+    marked = docs.withColumn("__mark", mark)
+    gone = quality_rules(marked, keep=["__mark"]).where("NOT kept")
+    gone = gone.select(F.col("doc_id").alias("__id"), F.col("__mark").alias("__gone")).distinct().hint("merge")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__gone"))
+    return marked.join(gone, same, "left_anti").drop("__mark")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -138,6 +138,7 @@ def quality_rules(
     text: str = "text",
     lang: str = "lang",
     *,
+    keep: list[str] | None = None,
     width: float = 5.0,
     short: float = 200.0,
     least: int = 100,
@@ -151,10 +152,10 @@ def quality_rules(
     language is a language of its own), or above it only for the fallback shares. The
     limit is wider by ``sqrt(1 + short / tokens)`` for short texts. Languages with fewer
     than ``least`` such texts have no band and keep them. Null, empty and blank texts have
-    0 words and fail. Repeated rows are judged alike and all returned; other columns are
-    ignored. The measures are written to the shared folder once, the texts are not shuffled.
+    0 words and fail. Repeated rows are judged alike and all returned; other columns
+    than those in ``keep`` are ignored. The measures are written to the shared folder once, the texts are not shuffled.
     """
-    found = measure(documents.withColumn("_lang", F.coalesce(F.col(lang).cast("string"), F.lit(""))), [key, "_lang"], text, folder=folder)
+    found = measure(documents.withColumn("_lang", F.coalesce(F.col(lang).cast("string"), F.lit(""))), [key, "_lang", *(keep or [])], text, folder=folder)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     found = saved(found.withColumn("base_failed", failed), "fertility")
     limits = bands(found, "_lang", width, least)
@@ -169,4 +170,4 @@ def quality_rules(
         off = F.abs(off) if side == "both" else off
         odd = odd | F.coalesce(off > F.col(f"_width_{name}") * scale + 1e-9, F.lit(False))
     kept = ~F.col("base_failed") & ~odd
-    return joined.select(key, *COUNTS, *MEASURES, "base_failed", kept.alias("kept"))
+    return joined.select(key, *(keep or []), *COUNTS, *MEASURES, "base_failed", kept.alias("kept"))

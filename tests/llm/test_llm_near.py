@@ -148,6 +148,14 @@ def test_pipeline_stages_keep_columns_and_decide(spark, tmp_path):
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
 
 
+def test_quality_stage_drops_rows_and_not_their_keys(spark):
+    good = [prose(700 + k, 80) for k in range(3)]
+    docs = [(None, good[0]), (None, "too short"), (None, None), (1, good[1]), (1, "too short"), (2, good[2]), (2, good[2])]
+    left = corpus_pipeline.quality(spark, frame(spark, docs), "")
+    assert left.columns == frame(spark, []).columns
+    assert sorted(r.text for r in left.collect()) == sorted([*good, good[2]])
+
+
 def test_pipeline_of_an_empty_table(spark, tmp_path):
     frame(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     items(spark, []).write.parquet(f"{tmp_path}/benchmark.parquet")
