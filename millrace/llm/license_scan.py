@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import difflib
+import math
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -51,6 +54,7 @@ HINT = re.compile(
     re.IGNORECASE,
 )
 SENTENCE = re.compile(r"(?<=[.;!?])[ \t]+|\n+")
+BLANK = re.compile(r"\n[ \t\r]*(?=\n)")
 WORD = re.compile(r"\w+(?:[.-]\w+)*")
 
 
@@ -62,6 +66,7 @@ class Scanner:
         self.plain = ZstdCompressor(**quiet)
         self.names = list(templates)
         self.words = [self.split(t) for t in templates.values()]
+        self.bags = [Counter(w) for w in self.words]
         self.given = [
             ZstdCompressor(dict_data=ZstdCompressionDict(t.lower().encode(), dict_type=DICT_TYPE_RAWCONTENT), **quiet)
             for t in templates.values()
@@ -107,6 +112,51 @@ class Scanner:
                 run.append(k)
                 yield parts[k]
 
+    def wrapped(self, text: str, least: float) -> Iterator[tuple]:
+        """Notices over several lines: name, start, saving, wording and missing words.
+
+        Looked for around hints, as far as the longest template on either side and not over
+        blank lines. Of templates confirmed at one place that with the most words counts.
+        """
+        reach = max(map(len, self.words))
+        edges = [0, *[g.end() for g in BLANK.finditer(text)], len(text)]
+        for begin, end in zip(edges[:-1], edges[1:], strict=True):
+            part = text[begin:end]
+            if "\n" not in part.strip() or not HINT.search(part):
+                continue
+            found = list(WORD.finditer(part))
+            starts = [m.start() for m in found]
+            spans: list[list[int]] = []
+            for hint in HINT.finditer(part):
+                at = bisect_right(starts, hint.start())
+                if spans and at - reach <= spans[-1][1]:
+                    spans[-1][1] = min(at + reach, len(found))
+                else:
+                    spans.append([max(at - reach, 0), min(at + reach, len(found))])
+            hits = []
+            for lo, hi in spans:
+                words = [m[0].lower() for m in found[lo:hi]]
+                bag = Counter(words)
+                for k, known in enumerate(self.words):
+                    if sum((bag & self.bags[k]).values()) < least * len(known):
+                        continue
+                    anchor = difflib.SequenceMatcher(None, words, known, autojunk=False).find_longest_match()
+                    slack = math.ceil((1 - least) * len(known))
+                    first = max(anchor.a - anchor.b - slack, 0)
+                    near = words[first : anchor.a - anchor.b + len(known) + slack]
+                    same = [m for m in difflib.SequenceMatcher(None, near, known, autojunk=False).get_matching_blocks() if m.size]
+                    size = sum(m.size for m in same)
+                    if size >= least * len(known):
+                        hits.append((size, k, lo + first + same[0].a, lo + first + same[-1].a + same[-1].size))
+            taken: list[tuple[int, int]] = []
+            for size, k, a, b in sorted(hits, key=lambda h: (-h[0], h[1])):
+                if any(a < y and x < b for x, y in taken):
+                    continue
+                taken.append((a, b))
+                raw = " ".join(m[0] for m in found[a:b]).lower().encode("utf-8", "surrogatepass")
+                saving = 1 - len(self.given[k].compress(raw)) / len(self.plain.compress(raw))
+                yield self.names[k], begin + starts[a], saving, size / len(self.words[k]), len(self.words[k]) - size
+
 
 def license_notices(
     documents: DataFrame,
@@ -122,7 +172,8 @@ def license_notices(
     Candidate blocks are sentences with a licence word and runs of such sentences. Each is
     compressed in lower case, alone and with each template as raw dictionary; templates are ranked by the
     share of the size saved, and the best three are confirmed by the words they have in
-    common with the block, in order: ``wording`` is the share of the template's words found
+    common with the block, in order; notices wrapped over lines are looked for by the words
+    around each hint and all templates: ``wording`` is the share of the template's words found
     and ``missing`` the number not found. A licence is reported once per document, at its
     first place (``start``, in characters) with the best wording.
 
@@ -142,6 +193,9 @@ def license_notices(
                     hit = scanner.confirmed(block, tries, least)
                     if hit and (hit[0] not in best or hit[2] > best[hit[0]][2]):
                         best[hit[0]] = (start, hit[1], hit[2], hit[3])
+                for name, start, *rest in scanner.wrapped(body, least) if HINT.search(body) else ():
+                    if name not in best or rest[1] > best[name][2]:
+                        best[name] = (start, *rest)
                 for name in sorted(best):
                     rows.append(row)
                     found.append((name, *best[name]))

@@ -172,6 +172,23 @@ def test_notices_are_found_with_their_wording(spark):
     assert license_notices(frame(spark, [])).count() == 0
 
 
+def test_notices_wrapped_over_lines_are_found(spark):
+    bsd = (
+        "# Redistribution and use in source and binary forms, with or without\n"
+        "# modification, are permitted provided that the following conditions\n# are met:"
+    )
+    cc0 = "To the extent possible under law, the author has waived all\ncopyright and related rights to this work."
+    docs = [
+        (1, f"{prose(1, 40)}\n{bsd}\n{prose(2, 200)}"),
+        (2, f"{prose(3, 40)}\n\n{cc0}\n{prose(4, 9)}"),
+        (3, f"{prose(5, 9)}\n{bsd}\n{cc0}"),
+        (4, f"A licence\n{prose(6, 300)}\nwas under the rights of copyright"),
+    ]
+    found = {(r.doc_id, r.license): r for r in license_notices(frame(spark, docs)).collect()}
+    assert set(found) == {(1, "BSD"), (2, "CC0"), (3, "BSD"), (3, "CC0")}
+    assert all(r.missing == 0 for r in found.values()) and found[2, "CC0"].start == len(prose(3, 40)) + 2
+
+
 def test_saving_ranks_the_right_template_first():
     scanner = Scanner(TEMPLATES)
     for k, text in enumerate(TEMPLATES.values()):
