@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import as_stream, rows
+from frames import as_stream, rows
 from pyspark.sql import functions as F
 
 import samples

@@ -6,7 +6,7 @@ import random
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from conftest import as_stream, rows
+from frames import as_stream, rows
 from pyspark.sql import functions as F
 
 import samples

@@ -1,5 +1,5 @@
 import pytest
-from conftest import as_stream, rows
+from frames import as_stream, rows
 from pyspark.sql import functions as F
 
 from millrace import operators as op

@@ -1,7 +1,7 @@
 import json
 import time
 
-from conftest import as_stream
+from frames import as_stream
 
 from millrace.streaming import ProgressLog, event_time_line, progress_frame, run_stream, watch
 

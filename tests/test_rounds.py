@@ -1,7 +1,7 @@
 """Results over many batches and restarts: order, progress totals, state layout, file places."""
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points

@@ -1,7 +1,7 @@
 """Hot keys in table joins: split by adaptive execution, or dealt over salts."""
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from millrace import operators as op

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from frames import rows
 
 import samples
 from millrace.schemas import CARS

@@ -1,7 +1,7 @@
 """Late data, one micro-batch per file, run until idle before the next file."""
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 import samples
