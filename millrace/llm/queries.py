@@ -18,6 +18,7 @@ from millrace.llm.recurrent_lm import score_documents
 from millrace.llm.tables import read
 from millrace.llm.token_counts import count_tokens, over_limit
 from millrace.llm.url_templates import judge_urls
+from millrace.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -101,3 +102,9 @@ def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Licence notices in all documents."""
     return license_notices(read(spark, folder, "documents"))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Whitened coordinates of every embedding."""
+    return whiten(read(spark, folder, "embeddings"))
