@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.compact_windows import repeated_passages
 from millrace.llm.decontamination import contaminated
+from millrace.llm.divergence import source_divergence
 from millrace.llm.fertility import quality_rules
 from millrace.llm.language_id import language_id
 from millrace.llm.license_scan import license_notices
@@ -108,3 +109,55 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     """Whitened coordinates of every embedding."""
     return whiten(read(spark, folder, "embeddings"))
+
+
+@query
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """How far the sources of each language differ in their words."""
+    return source_divergence(read(spark, folder, "documents"))
+
+
+ORACLE["op13_source_divergence"] = r"""
+WITH rows_ AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+),
+words AS (
+  SELECT k, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM rows_
+),
+counts AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT k) AS documents FROM words GROUP BY ALL
+),
+kept AS (SELECT lang, term, sum(n) AS n FROM counts GROUP BY lang, term HAVING sum(documents) >= 30),
+langs AS (SELECT lang, count(*) AS size, sum(n) AS total FROM kept GROUP BY lang),
+groups_ AS (SELECT DISTINCT lang, source FROM rows_),
+cells AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, kept.n AS lang_n,
+    sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total, langs.total AS lang_total, langs.size
+  FROM groups_ g JOIN kept ON kept.lang = g.lang JOIN langs ON langs.lang = g.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+),
+shares AS (
+  SELECT *, 1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * size) AS p,
+    1 + (1000000000::HUGEINT * (lang_n + 5)) // (lang_total + 5 * size) AS q
+  FROM cells
+),
+distances AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source != b.source
+  GROUP BY ALL
+),
+parts AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(d.value, 0) AS value
+  FROM groups_ g JOIN groups_ h ON g.lang = h.lang AND g.source != h.source
+  LEFT JOIN distances d ON d.lang = g.lang AND d.source = g.source AND d.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
