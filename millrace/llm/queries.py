@@ -19,7 +19,9 @@ from millrace.llm.recurrent_lm import score_documents
 from millrace.llm.tables import read
 from millrace.llm.token_counts import count_tokens, over_limit
 from millrace.llm.url_templates import judge_urls
+from millrace.llm.warc import archived_pages, read_warc, write_warc
 from millrace.llm.whitening import whiten
+from millrace.session import full_uri, run_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -161,3 +163,22 @@ ranked AS (
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
 FROM ranked WHERE part = 'pair' OR rank <= 50
 """
+
+
+@query
+def op11_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as WARC records and read back by byte ranges."""
+    place = full_uri(spark, run_folder(spark, "warc"))
+    write_warc(read(spark, folder, "pages"), place)
+    return archived_pages(read_warc(spark, place)).withColumnRenamed("key", "page_id")
+
+
+ORACLE["op11_warc_archive"] = """
+WITH bodies AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+sized AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest FROM bodies),
+headed AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS head FROM sized)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < head THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < head THEN head END AS refers_to
+FROM headed
+"""
