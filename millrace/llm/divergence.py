@@ -9,8 +9,7 @@ terms that a result row names.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
-from functools import partial
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +23,8 @@ LEAST_DOCUMENTS, TOP = 30, 50
 ONE, PRIOR = 1_000_000_000, 5
 #: Bits of the filter of frequent digests: 8 MB, whatever the number of terms.
 FILTER_BITS = 1 << 26
-#: Terms times sources of one block, in which all sources of a language meet.
-BLOCK_CELLS = 1_000_000
-CACHED_TERMS = 1 << 20
+#: Terms of one block, in which all sources of a language meet; fewer where terms times sources go beyond the cells.
+BLOCK_TERMS, BLOCK_CELLS = 2048, 1 << 22
 
 # Letters A-Z in lower case, a-z and all bytes of characters beyond ASCII make up terms.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -38,21 +36,12 @@ def terms(text: str) -> list[bytes]:
     return text.encode().translate(_TABLE).split()
 
 
-class Digests(dict):
-    """Term to 64-bit digest (or ``bits`` of it), remembering a bounded number of terms."""
+def _digests(found: Collection[bytes], bits: int) -> np.ndarray:
+    """64-bit digests of terms, or the first ``bits`` of them."""
+    from xxhash import xxh64_intdigest
 
-    def __init__(self, bits: int = 64) -> None:
-        super().__init__()
-        self._shift = 64 - bits
-
-    def __missing__(self, term: bytes) -> int:
-        from xxhash import xxh64_intdigest
-
-        if len(self) >= CACHED_TERMS:
-            self.clear()
-        value = xxh64_intdigest(term) >> self._shift
-        self[term] = value - (1 << 64) if value >> 63 else value
-        return self[term]
+    values = np.fromiter(map(xxh64_intdigest, found), np.uint64, len(found))
+    return (values >> np.uint64(64 - bits)).view(np.int64)
 
 
 def _grouped(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, str], list[str]]]:
@@ -64,38 +53,45 @@ def _grouped(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, str], list[str]
     yield from groups.items()
 
 
-def _rows(columns: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
-    values = list(zip(*columns, strict=True)) or [[] for _ in names]
-    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names)
-
+def _counts(texts: DataFrame, bits: int, collided: DataFrame | None = None) -> DataFrame:
+    """Per language, source and digest: occurrences and documents.
 
-def _counts(texts: DataFrame, bits: int) -> DataFrame:
-    """Per language, source and digest: occurrences and documents."""
+    With ``collided``, only of its digests, and split by term: ``split`` is the term then,
+    else empty.
+    """
+    shared = None if collided is None else texts.sparkSession.sparkContext.broadcast(_filter(collided))
 
     def make():
-        digests = Digests(bits)
-
         def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            out = []
             for (lang, source), bodies in _grouped(batch):
                 n, documents = Counter(), Counter()
                 for body in bodies:
                     words = terms(body)
                     n.update(words)
                     documents.update(set(words))
-                sums: dict[int, list[int]] = {}
-                for term, count in n.items():
-                    held = sums.setdefault(digests[term], [0, 0])
-                    held[0] += count
-                    held[1] += documents[term]
-                out += [(lang, source, digest, *held) for digest, held in sums.items()]
-            kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
-            yield _rows(out, ["lang", "source", "digest", "n", "documents"], kinds)
+                digest = _digests(n, bits)
+                columns = [digest, np.fromiter(n.values(), np.int64, len(n))]
+                columns.append(np.fromiter(map(documents.__getitem__, n), np.int64, len(n)))
+                split = pa.repeat("", len(n))
+                if shared is not None:
+                    held = np.flatnonzero(_passes(shared.value, digest))
+                    columns = [c[held] for c in columns]
+                    found = list(n)
+                    split = pa.array([found[k].decode() for k in held], pa.string())
+                keys = [pa.repeat(lang, len(split)), pa.repeat(source, len(split)), split]
+                yield pa.RecordBatch.from_arrays(
+                    [*keys, *map(pa.array, columns)], ["lang", "source", "split", "digest", "n", "documents"]
+                )
 
         return work
 
-    parts = map_batches(texts, make, "lang string, source string, digest long, n long, documents long")
-    return parts.groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
+    parts = map_batches(texts, make, "lang string, source string, split string, digest long, n long, documents long")
+    keys = ["lang", "source", "digest", "split"]
+    if collided is None:
+        parts = parts.drop("split")
+        keys.pop()
+    sums = parts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
+    return sums if collided is None else sums.join(collided, "digest", "left_semi").select(*keys, "n", "documents")
 
 
 def _kept(counts: DataFrame, least: int, *keys: str) -> DataFrame:
@@ -117,68 +113,34 @@ def _filter(kept: DataFrame) -> bytes:
     return whole.tobytes()
 
 
-def _passes(bitmap: bytes, digest: int) -> int:
-    bit = digest % FILTER_BITS
-    return bitmap[bit >> 3] >> (bit & 7) & 1
+def _passes(bitmap: bytes, digests: np.ndarray) -> np.ndarray:
+    bit = digests.view(np.uint64) % np.uint64(FILTER_BITS)
+    octet = np.frombuffer(bitmap, np.uint8)[bit >> np.uint64(3)]
+    return (octet >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
 def _vocabulary(texts: DataFrame, bitmap: bytes, bits: int) -> DataFrame:
     """Smallest and largest term of each digest that passes the filter, combined before the shuffle."""
     shared = texts.sparkSession.sparkContext.broadcast(bitmap)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digests, passes, ends = Digests(bits), partial(_passes, shared.value), {}
-
-        def rows() -> pa.RecordBatch:
-            out = [(d, low.decode(), high.decode()) for d, (low, high) in ends.items()]
-            return _rows(out, ["digest", "low", "high"], [pa.int64(), pa.string(), pa.string()])
-
-        for batch in batches:
+    def make():
+        def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             seen: set[bytes] = set()
             for body in batch.column(2).to_pylist():
                 seen.update(terms(body))
-            for term in seen:
-                digest = digests[term]
-                if passes(digest):
-                    low, high = ends.get(digest, (term, term))
-                    ends[digest] = (min(low, term), max(high, term))
-            if len(ends) >= CACHED_TERMS:
-                yield rows()
-                ends.clear()
-        yield rows()
-
-    parts = texts.mapInArrow(run, "digest long, low string, high string")
-    return parts.groupBy("digest").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-
-
-def _split_counts(texts: DataFrame, collided: DataFrame, bits: int) -> DataFrame:
-    """Counts of the terms of collided digests, with the term itself as part of the key."""
-    shared = texts.sparkSession.sparkContext.broadcast(_filter(collided))
-
-    def make():
-        digests, passes = Digests(bits), partial(_passes, shared.value)
-
-        def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            out = []
-            for (lang, source), bodies in _grouped(batch):
-                n, documents = Counter(), Counter()
-                for body in bodies:
-                    words = [t for t in terms(body) if passes(digests[t])]
-                    n.update(words)
-                    documents.update(set(words))
-                out += [(lang, source, digests[t], t.decode(), c, documents[t]) for t, c in n.items()]
-            kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-            yield _rows(out, ["lang", "source", "digest", "split", "n", "documents"], kinds)
+            found, ends = list(seen), {}
+            digests = _digests(found, bits)
+            for k in np.flatnonzero(_passes(shared.value, digests)).tolist():
+                low, high = ends.get(digests[k], (found[k], found[k]))
+                ends[digests[k]] = (min(low, found[k]), max(high, found[k]))
+            low, high = ([end[side].decode() for end in ends.values()] for side in (0, 1))
+            columns = [pa.array(list(ends), pa.int64()), pa.array(low, pa.string()), pa.array(high, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["digest", "low", "high"])
 
         return work
 
-    parts = map_batches(texts, make, "lang string, source string, digest long, split string, n long, documents long")
-    return (
-        parts.groupBy("lang", "source", "digest", "split")
-        .agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
-        .join(collided.select("digest"), "digest", "left_semi")
-        .select("lang", "source", "digest", "split", "n", "documents")
-    )
+    parts = map_batches(texts.select("lang", "source", "text"), make, "digest long, low string, high string")
+    return parts.groupBy("digest").agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 def _share(count: str, total: str) -> Column:
@@ -221,8 +183,8 @@ def _pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
     ever made, and a block has a bounded number of terms times sources. The number of result
     rows, every source with every other of its language, is what is asked for.
     """
-    cells = F.lit(BLOCK_CELLS)
-    blocks = F.ceil(F.col("size") * F.col("sources") / cells).cast("long")
+    most = F.greatest(F.lit(1), F.least(F.lit(BLOCK_TERMS), F.floor(F.lit(BLOCK_CELLS) / F.col("sources"))))
+    blocks = F.ceil(F.col("size") / most).cast("long")
     dealt = shares.select(
         "lang", F.pmod("digest", F.greatest(blocks, F.lit(1))).alias("block"), "source", "digest", "split", "p"
     )
@@ -279,7 +241,7 @@ def source_divergence(
     counts = counts.withColumn("split", F.lit(""))
     if not collided.isEmpty():
         alone = counts.join(collided, "digest", "left_anti")
-        counts = saved(alone.unionByName(_split_counts(texts, collided, bits)), "divergence_split")
+        counts = saved(alone.unionByName(_counts(texts, bits, collided)), "divergence_split")
 
     term = ["lang", "digest", "split"]
     kept = saved(_kept(counts, least, "digest", "split").withColumnRenamed("n", "lang_n"), "divergence_kept")

@@ -95,7 +95,7 @@ def test_a_collision_does_not_lift_rare_terms(spark):
 
 
 def test_blocks_of_a_single_term(spark, monkeypatch):
-    monkeypatch.setattr("millrace.llm.divergence.BLOCK_CELLS", 3)
+    monkeypatch.setattr("millrace.llm.divergence.BLOCK_CELLS", 1)
     documents = sample(4, documents=60, words=20)
     assert run(spark, documents, least=3) == brute_force(documents, 3)
 
