@@ -121,6 +121,9 @@ ORACLE: dict[str, str] = {
     "sink_upsert": """SELECT p_name, arg_max_null(p_size, p_partkey) AS p_size, max(p_partkey) AS p_partkey
         FROM part GROUP BY p_name""",
     "sink_row_writer": "SELECT p_name, p_size FROM part",
+    "sink_row_writer_repeated": "SELECT p_name, p_size FROM part",
+    "sink_upsert_compacted": """SELECT p_name, arg_max_null(p_size, p_partkey) AS p_size, max(p_partkey) AS p_partkey
+        FROM part GROUP BY p_name""",
     "join_inner": _ORDER_CUSTOMER,
     "join_left": _DOC_LEFT,
     "join_right": _DOC_LEFT,

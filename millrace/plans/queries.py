@@ -18,10 +18,11 @@ from millrace.plans.sql import run_sql
 from millrace.schemas import CARS, STOCK_DATE_FORMAT, STOCKS
 from millrace.session import full_uri, run_folder
 from millrace.sources import csv_stream, json_stream, lines_stream, read_table, table, table_stream
-from millrace.streaming import latest_rows, run_stream, start_stream, state_layout, stored_progress, trigger_options, upsert_sink
+from millrace.streaming import EpochSink, KeyedTable, published, run_stream, start_stream, state_layout, stored_progress, trigger_options
+from millrace.streaming.backlog import SLICE, feed_slices, number_by_time, sliced_stream, write_slices
 from millrace.streaming.layout import StateLayout
 from millrace.streaming.runner import await_end
-from millrace.streaming.sinks import ParquetConnection, RowWriter
+from millrace.streaming.sinks import ParquetConnection
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,45 +57,30 @@ def backlog(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return table_stream(spark, folder, name, max_bytes_per_trigger=BATCH_BYTES)
 
 
-SLICES, SLICE_ROWS = 3, 100_000_000
-
-
-def time_slices(events: DataFrame, time: str) -> list[Column]:
-    """Conditions that cut a table into stretches of time of about equal size, oldest first."""
-    slices = max(SLICES, -(-events.count() // SLICE_ROWS))
-    at = F.unix_micros(F.col(time).cast("timestamp"))
-    shares = [k / slices for k in range(1, slices)]
-    bounds = sorted(set(events.select(F.percentile_approx(at, shares, 10_000)).first()[0] or []))
-    edges = [None, *bounds, None]
-    cuts = []
-    for low, high in zip(edges[:-1], edges[1:], strict=True):
-        above = at > low if low is not None else F.lit(True)
-        cuts.append(above & (at <= high) if high is not None else above | at.isNull())
-    return cuts
-
-
 def drained_in_slices(
     spark: SparkSession,
     folder: str,
     name: str,
     build: Callable[[DataFrame, str], DataFrame],
-    cuts: list[Column] | None = None,
+    number: Column | None = None,
     *,
     watch: Callable[[str], None] | None = None,
     **options: object,
 ) -> DataFrame:
     """Feed the events to a query with a watermark one stretch of time after the other.
 
-    Each stretch is one run over the same checkpoint. The watermark moves on between runs
-    and closed windows and rows past their range leave the state, so the state holds one
-    stretch and not the table. No row is late, as stretches follow each other in time,
-    however the files lie. ``build`` gets the stream and the run folder.
+    The table is cut into slices in one pass, and each slice is one run over the same
+    checkpoint. No row is late, as slices follow each other in time, however the files lie.
+    ``number`` replaces the number of the stretch; ``build`` gets the stream and the run folder.
     """
     events, place = table(spark, folder, "events"), run_folder(spark, name)
-    for number, cut in enumerate(cuts if cuts is not None else time_slices(events, "ts")):
-        events.where(cut).write.parquet(f"{place}/in/part-{number}")
-        stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).parquet(f"{place}/in")
-        stored = run_stream(build(_zoned(stream), f"{place}/run"), f"{place}/run", **options)
+    write_slices(number_by_time(events, "ts") if number is None else events.withColumn(SLICE, number), "ts", place)
+
+    def run() -> DataFrame:
+        stream = sliced_stream(spark, place, events.schema)
+        return run_stream(build(_zoned(stream), f"{place}/run"), f"{place}/run", **options)
+
+    stored = feed_slices(spark, place, run)
     if watch is not None:
         watch(f"{place}/run")
     return stored
@@ -461,10 +447,8 @@ def late_rows(spark: SparkSession, folder: str) -> DataFrame:
     number there is that of sums per task, not of rows.
     """
     places: list[str] = []
-    even = F.col("event_id") % 2 == 0
-    stored = drained_in_slices(
-        spark, folder, "late_rows", _hourly_counts, [even, ~even], watch=places.append, progress=True
-    )
+    odd = F.coalesce(F.pmod("event_id", F.lit(2)), F.lit(0)).cast("long")
+    stored = drained_in_slices(spark, folder, "late_rows", _hourly_counts, odd, watch=places.append, progress=True)
     late = stored_progress(spark, places[0]).agg(F.sum("late_rows")).first()[0] or 0
     stored = stored.withColumns({name: F.col(name).cast(NTZ) for name in ("start", "end")})
     return stored.withColumn("late", F.lit(int(late > 0)))
@@ -491,36 +475,67 @@ def progress_event_time(spark: SparkSession, folder: str) -> DataFrame:
 # --- sinks -------------------------------------------------------------------
 
 
+def _each_batch(rows: DataFrame, place: str, write: Callable[[DataFrame, int], None]) -> None:
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", f"{place}/checkpoint")
+    await_end(writer.trigger(availableNow=True).start())
+
+
 @query
 def sink_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """One row per name, the newest part number wins."""
     place = run_folder(spark, "sink_upsert")
     rows = backlog(spark, folder, "part").select("p_name", "p_size", "p_partkey")
-    writer = upsert_sink(f"{place}/data", ["p_name"], ["p_partkey"])
-    started = (
-        rows.writeStream.foreachBatch(writer)
-        .option("checkpointLocation", f"{place}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    await_end(started)
-    return latest_rows(spark, f"{place}/data", ["p_name"], rows.schema, ["p_partkey"])
+    keyed = KeyedTable(spark, f"{place}/data", ["p_name"], rows.schema, ["p_partkey"])
+    _each_batch(rows, place, keyed.sink())
+    return keyed.rows()
+
+
+@query
+def sink_upsert_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with a new version of the table between batches of the running stream."""
+    place = run_folder(spark, "sink_upsert_compacted")
+    rows = backlog(spark, folder, "part").select("p_name", "p_size", "p_partkey")
+    keyed = KeyedTable(spark, f"{place}/data", ["p_name"], rows.schema, ["p_partkey"], buckets=8)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for part, half in enumerate((batch.where("p_partkey % 2 = 0"), batch.where("p_partkey % 2 = 1"))):
+            keyed.write(half, 2 * batch_id + part)
+            keyed.compact()
+        keyed.vacuum()
+
+    _each_batch(rows, place, write)
+    return keyed.rows()
+
+
+def _name_files(spark: SparkSession, name: str) -> tuple[str, EpochSink]:
+    place = full_uri(spark, run_folder(spark, name))
+    shape = pa.schema([("p_name", pa.string()), ("p_size", pa.int32())])
+    connect = lambda part, batch: ParquetConnection(f"{place}/data", shape, part, batch, once=True)
+    return place, EpochSink(spark, f"{place}/data", connect)
 
 
 @query
 def sink_row_writer(spark: SparkSession, folder: str) -> DataFrame:
-    place = full_uri(spark, run_folder(spark, "sink_row_writer"))
+    place, sink = _name_files(spark, "sink_row_writer")
     rows = backlog(spark, folder, "part").select("p_name", "p_size")
-    shape = pa.schema([("p_name", pa.string()), ("p_size", pa.int32())])
-    writer = RowWriter(lambda part, batch: ParquetConnection(f"{place}/data", shape, part, batch))
-    started = (
-        rows.writeStream.foreach(writer)
-        .option("checkpointLocation", f"{place}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    await_end(started)
-    return spark.read.schema(rows.schema).parquet(f"{place}/data")
+    _each_batch(rows, place, sink)
+    return published(spark, f"{place}/data", rows.schema)
+
+
+@query
+def sink_row_writer_repeated(spark: SparkSession, folder: str) -> DataFrame:
+    """Each batch is first written by a try that breaks off before it is published, then with
+    other partitions, and then comes once more after it was published."""
+    place, sink = _name_files(spark, "sink_row_writer_repeated")
+    rows = backlog(spark, folder, "part").select("p_name", "p_size")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sink.write(batch.repartition(5), batch_id)
+        sink(batch.repartition(3), batch_id)
+        sink(batch, batch_id)
+
+    _each_batch(rows, place, write)
+    return published(spark, f"{place}/data", rows.schema)
 
 
 # --- joins -------------------------------------------------------------------

@@ -111,9 +111,35 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    _, fs, target = _hadoop(spark, path)
+    fs.mkdirs(target)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder within one file system; raises where the target exists."""
+    jvm, fs, old = _hadoop(spark, source)
+    new = jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(new.getParent())
+    if fs.exists(new) or not fs.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def entries(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder, sorted; none if it does not exist."""
+    _, fs, target = _hadoop(spark, path)
+    if not fs.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(target))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    _, fs, target = _hadoop(spark, path)
+    fs.delete(target, True)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a run folder below the shared folder once its result is no longer needed."""
     if not full_uri(spark, path).startswith(full_uri(spark, shared_folder(spark)).rstrip("/") + "/"):
         raise ValueError(f"{path} is not below the shared folder")
-    _, fs, target = _hadoop(spark, path)
-    fs.delete(target, True)
+    delete_path(spark, path)

@@ -1,21 +1,24 @@
 """Running streams to completion, sinks and progress reports."""
 
+from millrace.streaming.backlog import feed_slices, number_by_time, slice_manifest, sliced_stream, write_slices
+from millrace.streaming.keyed import KeyedTable
 from millrace.streaming.layout import StateLayout, check_layout, state_layout
 from millrace.streaming.progress import ProgressFiles, ProgressLog, event_time_line, progress_frame, stored_progress, watch
 from millrace.streaming.runner import RunningStream, await_end, run_stream, start_stream, trigger_options
 from millrace.streaming.sinks import (
+    EpochSink,
     RowWriter,
     cassandra_sink,
-    compact,
     console_sink,
     jdbc_sink,
     kafka_batch_write,
     kafka_sink,
-    latest_rows,
-    upsert_sink,
+    published,
 )
 
 __all__ = [
+    "EpochSink",
+    "KeyedTable",
     "ProgressFiles",
     "ProgressLog",
     "RowWriter",
@@ -24,19 +27,22 @@ __all__ = [
     "await_end",
     "cassandra_sink",
     "check_layout",
-    "compact",
     "console_sink",
     "event_time_line",
+    "feed_slices",
     "jdbc_sink",
     "kafka_batch_write",
     "kafka_sink",
-    "latest_rows",
+    "number_by_time",
     "progress_frame",
+    "published",
     "run_stream",
+    "slice_manifest",
+    "sliced_stream",
     "start_stream",
     "state_layout",
     "stored_progress",
     "trigger_options",
-    "upsert_sink",
     "watch",
+    "write_slices",
 ]

@@ -17,7 +17,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.streaming.layout import StateLayout, check_layout
 from millrace.streaming.progress import ProgressFiles
-from millrace.streaming.sinks import BATCH, latest_rows, upsert_sink
+from millrace.streaming.keyed import BATCH, KeyedTable
 
 
 def trigger_options(kind: str = "available_now", interval: str | None = None) -> dict[str, object]:
@@ -102,8 +102,8 @@ def start_stream(
         query = writer.format(fmt).option("path", data).start()
         return RunningStream(query, lambda: ordered(spark.read.schema(df.schema).format(fmt).load(data)))
     if mode == "update":
-        query = writer.foreachBatch(upsert_sink(data, keys, unique=True)).start()
-        return RunningStream(query, lambda: ordered(latest_rows(spark, data, keys, df.schema)))
+        table = KeyedTable(spark, data, keys, df.schema, unique=True)
+        return RunningStream(writer.foreachBatch(table.sink()).start(), lambda: ordered(table.rows()))
 
     last: list[tuple[int, StructType]] = []
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any, Protocol
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
+
+from millrace.session import entries, move_path, path_exists, write_text
 
-BATCH = "millrace_batch"
 BatchWriter = Callable[[DataFrame, int], None]
 
 
@@ -110,65 +113,15 @@ def cassandra_sink(
     return write
 
 
-def upsert_sink(path: str, keys: Sequence[str], order_by: Sequence[str] = (), *, unique: bool = False) -> BatchWriter:
-    """``foreachBatch`` body for a table with a primary key.
-
-    A batch is filed under its number and never merged into what is stored, so
-    writing costs the batch and not the table, and a repeated batch replaces its
-    own files. ``latest_rows`` resolves the newest row per key. ``order_by`` names
-    columns that decide between rows of one key. It may be left out only for batches
-    that hold no key twice, such as grouped results, which ``unique`` states.
-    """
-    if not order_by and not unique:
-        raise ValueError("name order_by columns, or state with unique=True that no batch holds a key twice")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = _newest(batch, keys, list(order_by)) if order_by else batch
-        rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
-
-    return write
-
-
-def latest_rows(
-    spark: SparkSession,
-    path: str,
-    keys: Sequence[str],
-    schema: StructType,
-    order_by: Sequence[str] = (),
-) -> DataFrame:
-    """Newest row per key of an upsert table: by ``order_by``, then by batch."""
-    stored = StructType(schema.fields + [StructField(BATCH, LongType())])
-    log = spark.read.schema(stored).parquet(path)
-    return _newest(log, keys, [*order_by, BATCH]).select(*schema.fieldNames())
-
-
-def compact(
-    spark: SparkSession, path: str, target: str, keys: Sequence[str], schema: StructType, order_by: Sequence[str] = ()
-) -> None:
-    """Rewrite an upsert table as one batch in a new place, dropping old rows.
+class Connection(Protocol):
+    """What a row writer needs from the system it writes to.
 
-    Do it while the writing stream is stopped, then let it go on with the same
-    checkpoint and the new place.
+    ``commit`` may return a message, such as the name of the file it has written.
     """
-    rows = latest_rows(spark, path, keys, schema, order_by)
-    rows.write.mode("errorifexists").parquet(f"{target}/{BATCH}=-1")
-
-
-def _newest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key by aggregation, which combines before the shuffle."""
-    rest = [name for name in df.columns if name not in keys]
-    if not rest:
-        return df.select(*keys).distinct()
-    picked = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return df.groupBy(*keys).agg(picked).select(*keys, "_row.*").select(*df.columns)
-
-
-class Connection(Protocol):
-    """What a row writer needs from the system it writes to."""
 
     def write(self, rows: Sequence[Row]) -> None: ...
 
-    def commit(self) -> None: ...
+    def commit(self) -> str | None: ...
 
     def abort(self) -> None: ...
 
@@ -197,15 +150,15 @@ class RowWriter:
         if len(self._pending) >= self._group_size:
             self._flush()
 
-    def close(self, error: Exception | None) -> None:
+    def close(self, error: BaseException | None) -> str | None:
         if self._connection is None:
-            return
+            return None
         if error is not None:
             self._connection.abort()
-            return
+            return None
         try:
             self._flush()
-            self._connection.commit()
+            return self._connection.commit()
         except Exception:
             self._connection.abort()
             raise
@@ -248,15 +201,13 @@ class ParquetConnection:
     """Rows into one Parquet file per partition and batch below a shared folder.
 
     ``folder`` is a full URI (``full_uri``), so that every executor writes to the shared
-    file system. The file gets its name only on commit, and the same chunk repeated takes
-    the same name. A batch repeated with other partitions leaves the files of both tries:
-    where that matters, deal the rows by content into a fixed number of partitions first,
-    or use Spark's own Parquet sink, which keeps a log.
+    file system. The file gets its name only on commit. Used by ``writeStream.foreach``, the
+    same chunk repeated takes the same name, but a batch repeated with other partitions leaves
+    the files of both tries. With ``once`` each try has names of its own, for an
+    ``EpochSink``, which lists those that count.
     """
 
-    def __init__(self, folder: str, schema: Any, partition_id: int, batch_id: int) -> None:
-        import uuid
-
+    def __init__(self, folder: str, schema: Any, partition_id: int, batch_id: int, *, once: bool = False) -> None:
         import pyarrow.parquet as pq
         from pyarrow.fs import FileSystem
 
@@ -266,8 +217,9 @@ class ParquetConnection:
             folder = "file:///" + folder.removeprefix("file:").lstrip("/")
         self._fs, base = FileSystem.from_uri(folder)
         self._fs.create_dir(base, recursive=True)
-        self._target = f"{base}/batch-{batch_id}-part-{partition_id}.parquet"
-        self._draft = f"{base}/_draft-{uuid.uuid4().hex}"
+        mark = uuid.uuid4().hex
+        name = f"batch-{batch_id}-part-{partition_id}{'-' + mark if once else ''}.parquet"
+        self._file, self._target, self._draft = f"{folder}/{name}", f"{base}/{name}", f"{base}/_draft-{mark}"
         self._schema = schema
         self._writer = pq.ParquetWriter(self._draft, schema, filesystem=self._fs)
 
@@ -276,10 +228,71 @@ class ParquetConnection:
 
         self._writer.write_table(pa.Table.from_pylist([row.asDict() for row in rows], self._schema))
 
-    def commit(self) -> None:
+    def commit(self) -> str:
         self._writer.close()
         self._fs.move(self._draft, self._target)
+        return self._file
 
     def abort(self) -> None:
         self._writer.close()
         self._fs.delete_file(self._draft)
+
+
+class EpochSink:
+    """``foreachBatch`` body that runs a row writer and publishes each batch as a whole.
+
+    Every partition of a batch goes through ``connect`` as in ``writeStream.foreach``; rows
+    come from Arrow, times with their zone. What the commits return is collected, one short
+    text per partition, and stored as the batch's list below ``folder``. A batch counts from
+    the moment its list is there: files of lost, repeated or speculative tasks and of batches
+    that broke off are on no list, and a batch that has one is not written again. Readers go
+    by the lists (``published``).
+    """
+
+    def __init__(
+        self, spark: SparkSession, folder: str, connect: Callable[[int, int], Connection | None], group_size: int = 1000
+    ) -> None:
+        self._spark, self._folder, self._connect, self._group_size = spark, folder, connect, group_size
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if not path_exists(self._spark, self._list(batch_id)):
+            self.publish(batch_id, self.write(batch, batch_id))
+
+    def _list(self, batch_id: int) -> str:
+        return f"{self._folder}/_epochs/{batch_id}.json"
+
+    def write(self, batch: DataFrame, batch_id: int) -> list[str]:
+        """Run the writer over the batch without publishing it; returns the messages."""
+        connect, group_size = self._connect, self._group_size
+
+        def run(batches: Iterator[Any]) -> Iterator[Any]:
+            import pyarrow as pa
+            from pyspark import TaskContext
+
+            writer = RowWriter(connect, group_size)
+            if not writer.open(TaskContext.get().partitionId(), batch_id):
+                return
+            try:
+                for part in batches:
+                    for row in part.to_pylist():
+                        writer.process(Row(**row))
+            except BaseException as error:
+                writer.close(error)
+                raise
+            yield pa.RecordBatch.from_arrays([pa.array([writer.close(None)], pa.string())], ["message"])
+
+        return sorted(r.message for r in batch.mapInArrow(run, "message string").collect() if r.message is not None)
+
+    def publish(self, batch_id: int, messages: Sequence[str]) -> None:
+        draft = f"{self._folder}/_epochs/_draft-{uuid.uuid4().hex}"
+        write_text(self._spark, draft, json.dumps({"batch": batch_id, "messages": list(messages)}))
+        move_path(self._spark, draft, self._list(batch_id))
+
+
+def published(spark: SparkSession, folder: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """The rows of all published batches of an ``EpochSink`` whose messages are file names."""
+    if not any(name.endswith(".json") for name in entries(spark, f"{folder}/_epochs")):
+        return spark.createDataFrame([], schema)
+    lists = spark.read.schema("batch long, messages array<string>").json(f"{folder}/_epochs/*.json")
+    files = [row.file for row in lists.select(F.explode("messages").alias("file")).collect()]
+    return spark.read.schema(schema).format(fmt).load(files) if files else spark.createDataFrame([], schema)

@@ -10,12 +10,11 @@ from millrace.schemas import CARS
 from millrace.session import run_folder, shared_folder
 from millrace.sources import json_stream, lines_stream
 from millrace.streaming import (
+    KeyedTable,
     await_end,
-    latest_rows,
     run_stream,
     start_stream,
     trigger_options,
-    upsert_sink,
     watch,
 )
 
@@ -194,10 +193,10 @@ def test_streaming_flag(spark, drop):
 def test_a_batch_repeated_after_a_crash_changes_nothing(spark, words, tmp_path):
     """The table is written, the driver fails before the commit, the batch comes again."""
     stream, data = as_stream(spark, words, tmp_path), str(tmp_path / "data")
-    write, crash = upsert_sink(data, ["word"], ["n"]), [True]
+    keyed, crash = KeyedTable(spark, data, ["word"], words.schema, ["n"]), [True]
 
     def flaky(batch, batch_id):
-        write(batch, batch_id)
+        keyed.write(batch, batch_id)
         if crash:
             crash.pop()
             raise RuntimeError("driver lost")
@@ -209,8 +208,8 @@ def test_a_batch_repeated_after_a_crash_changes_nothing(spark, words, tmp_path):
     with pytest.raises(Exception, match="driver lost"):
         run()
     run()
-    assert rows(latest_rows(spark, data, ["word"], words.schema, ["n"])) == [("a", 3), ("b", 2)]
-    assert spark.read.parquet(data).count() == 2
+    assert rows(keyed.rows()) == [("a", 3), ("b", 2)]
+    assert spark.read.parquet(f"{data}/log").count() == 2
 
 
 def test_a_failed_complete_batch_is_done_again(spark, words, tmp_path):

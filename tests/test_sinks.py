@@ -5,15 +5,14 @@ from pyspark.sql import Row
 from millrace import functions as fn
 from millrace.schemas import PURCHASES
 from millrace.streaming import (
+    EpochSink,
     RowWriter,
     cassandra_sink,
-    compact,
     console_sink,
     jdbc_sink,
     kafka_batch_write,
     kafka_sink,
-    latest_rows,
-    upsert_sink,
+    published,
 )
 from millrace.session import full_uri
 from millrace.streaming.runner import await_end
@@ -127,39 +126,6 @@ def test_cassandra_sink_projects_and_appends(cars):
         cassandra_sink("public", "cars", ["Name"])(cars, 0)
 
 
-SHAPE = "Name STRING, Horsepower BIGINT, at INT"
-
-
-def test_upsert_keeps_the_newest_row_per_key(spark, tmp_path):
-    path = str(tmp_path / "t")
-    write = upsert_sink(path, ["Name"], ["at"])
-    frame = spark.createDataFrame
-    write(frame([("a", 1, 1), ("a", 2, 5), ("b", 3, 1)], SHAPE), 0)
-    write(frame([("a", 9, 4), ("b", None, 2), ("c", 7, 1)], SHAPE), 1)
-    schema = frame([], SHAPE).schema
-
-    def stored(where):
-        return rows(latest_rows(spark, where, ["Name"], schema, ["at"]))
-
-    expected = [("a", 2, 5), ("b", None, 2), ("c", 7, 1)]
-    assert stored(path) == expected
-    write(frame([("a", 9, 4), ("b", None, 2), ("c", 7, 1)], SHAPE), 1)  # repeated after a crash
-    assert stored(path) == expected
-    compact(spark, path, str(tmp_path / "small"), ["Name"], schema, ["at"])
-    assert stored(str(tmp_path / "small")) == expected
-    assert spark.read.parquet(str(tmp_path / "small")).count() == 3
-
-
-def test_later_batch_wins_without_an_order(spark, tmp_path):
-    with pytest.raises(ValueError, match="order_by"):
-        upsert_sink(str(tmp_path / "t"), ["k"])
-    write = upsert_sink(str(tmp_path / "t"), ["k"], unique=True)
-    write(spark.createDataFrame([("x", 1), ("y", 1)], "k STRING, v INT"), 0)
-    write(spark.createDataFrame([("x", None)], "k STRING, v INT"), 1)
-    schema = spark.createDataFrame([], "k STRING, v INT").schema
-    assert rows(latest_rows(spark, str(tmp_path / "t"), ["k"], schema)) == [("x", None), ("y", 1)]
-
-
 class FakeDb:
     def __init__(self):
         self.statements, self.state = [], []
@@ -228,6 +194,57 @@ def test_row_writer_runs_once_per_partition_and_batch(form, spark, cars, tmp_pat
     assert run("c2") == rows(cars)  # all batches repeated onto the same names
 
 
+def car_files(spark, tmp_path):
+    import pyarrow as pa
+
+    shape, place = pa.schema([("Name", pa.string()), ("Horsepower", pa.int64())]), f"file:{tmp_path / 'o'}"
+    return place, EpochSink(spark, place, lambda part, batch: ParquetConnection(place, shape, part, batch, once=True))
+
+
+def test_a_batch_repeated_with_other_partitions_counts_once(spark, cars, tmp_path):
+    """The writer is done with all partitions, the driver fails before the batch is published."""
+    place, sink = car_files(spark, tmp_path)
+    stream, tries = as_stream(spark, cars, tmp_path), []
+
+    def flaky(batch, batch_id):
+        tries.append(batch_id)
+        if len(tries) == 1:
+            assert len(sink.write(batch.repartition(3), batch_id)) == 3
+            raise RuntimeError("driver lost")
+        sink(batch.repartition(2), batch_id)
+        if len(tries) == 2:
+            raise RuntimeError("driver lost")  # published, but not committed by the stream
+
+    for _ in range(2):
+        query = stream.writeStream.foreachBatch(flaky).option("checkpointLocation", str(tmp_path / "c"))
+        with pytest.raises(Exception, match="driver lost"):
+            await_end(query.trigger(availableNow=True).start(), 60)
+    await_end(query.trigger(availableNow=True).start(), 60)
+    assert tries == [0, 0, 0] and rows(published(spark, place, cars.schema)) == rows(cars)
+    assert spark.read.parquet(place).count() > 3  # files of the first try are there, but on no list
+
+
+def test_failed_partitions_leave_nothing_published(spark, cars, tmp_path):
+    place, _ = car_files(spark, tmp_path)
+    empty = published(spark, place, cars.schema)
+    assert rows(empty) == [] and empty.columns == cars.columns
+
+    class Broken:
+        def write(self, rows):
+            raise ValueError("system is down")
+
+        def commit(self):
+            return "never"
+
+        def abort(self):
+            pass
+
+    with pytest.raises(Exception, match="system is down"):
+        EpochSink(spark, place, lambda part, batch: Broken())(cars, 0)
+    EpochSink(spark, place, lambda part, batch: None)(cars, 1)  # all partitions skipped
+    assert rows(published(spark, place, cars.schema)) == []
+
+
 def test_row_writer_wants_a_full_uri(spark, tmp_path):
     with pytest.raises(ValueError, match="file system"):
         ParquetConnection(str(tmp_path), None, 0, 0)
