@@ -11,6 +11,7 @@ from millrace.operators.joins import (
     join_tables,
 )
 from millrace.operators.windows import (
+    LATE,
     best_sellers,
     late_safe_counts,
     pane_totals,
@@ -18,11 +19,14 @@ from millrace.operators.windows import (
     slide_panes,
     sliding_totals,
     sliding_totals_closed,
+    top_closed,
     top_per_window,
+    top_sliding_closed,
     window_totals,
 )
 
 __all__ = [
+    "LATE",
     "STREAM_JOINS",
     "above",
     "best_sellers",
@@ -42,6 +46,8 @@ __all__ = [
     "sliding_totals",
     "sliding_totals_closed",
     "spread_stats",
+    "top_closed",
     "top_per_window",
+    "top_sliding_closed",
     "window_totals",
 ]

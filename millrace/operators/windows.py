@@ -126,16 +126,61 @@ def processing_time_chars(lines: DataFrame, length: str = "10 seconds", column:
     )
 
 
+LATE = "late"
+
+
 def late_safe_counts(
-    df: DataFrame, time: str = "created", key: str = "color", delay: str = "2 seconds", length: str = "2 seconds"
+    df: DataFrame,
+    time: str = "created",
+    key: str = "color",
+    delay: str = "2 seconds",
+    length: str = "2 seconds",
+    *,
+    watermark: int | None = None,
 ) -> DataFrame:
     """Rows per window and key with a watermark, so that windows close and leave the state.
 
-    ``time`` must be a zoned timestamp.
+    ``time`` must be a zoned timestamp. With ``watermark``, the one in force in milliseconds
+    (``watermark_in_force``), the rows of windows that it has closed are counted as they come
+    in, as the observed metric ``late.rows``: just those that the aggregate turns away. Spark's
+    own figure counts the sums that each task has made of them. The metric holds for one
+    batch, so drain one batch per start.
     """
-    return (
-        df.withWatermark(time, delay)
-        .groupBy(F.window(time, length), key)
-        .count()
-        .select("window.*", key, "count")
+    rows = df.withWatermark(time, delay).withColumn("window", F.window(time, length))
+    if watermark is not None:
+        closed = F.unix_micros(F.col("window.end")) <= F.lit(watermark * 1000)
+        rows = rows.observe(LATE, F.count(F.when(closed, 1)).alias("rows"))
+    return rows.groupBy("window", key).count().select("window.*", key, "count")
+
+
+def _best(totals: DataFrame, window: Column, item: str, total: str) -> DataFrame:
+    """Best item per window by one aggregate: unknown totals last, equal ones by name."""
+    first = F.min(F.struct(F.col(total).isNull().alias("unknown"), (F.lit(0) - F.col(total)).alias("less"), item))
+    best = totals.groupBy(window.alias("window")).agg(first.alias("best"))
+    return best.select(
+        "window.start", "window.end", F.col(f"best.{item}").alias(item), (F.lit(0) - F.col("best.less")).alias(total)
+    )
+
+
+def top_closed(
+    df: DataFrame, time: str, length: str, amount: str | Column, item: str, *, delay: str, name: str = "total"
+) -> DataFrame:
+    """The best item of every window of a stream, once, when the window is closed.
+
+    Two chained aggregates under one watermark: totals per window and item, and of these the
+    best per window. Both leave the state with their window, and nothing is written twice.
+    On a bounded frame all windows are there. ``time`` must be a zoned timestamp.
+    """
+    totals = df.withWatermark(time, delay).groupBy(F.window(time, length).alias("window"), item).agg(F.sum(amount).alias(name))
+    return _best(totals, F.window(F.window_time("window"), length), item, name)
+
+
+def top_sliding_closed(
+    df: DataFrame, time: str, length: str, slide: str, amount: str | Column, item: str, *, delay: str, name: str = "total"
+) -> DataFrame:
+    """``top_closed`` for sliding windows: panes, windows and the best of each, all in state that closes."""
+    panes = (
+        df.withWatermark(time, delay).groupBy(F.window(time, slide).alias("pane"), item).agg(F.sum(amount).alias("pane_total"))
     )
+    totals = panes.groupBy(F.window("pane", length, slide).alias("window"), item).agg(F.sum("pane_total").alias(name))
+    return _best(totals, F.col("window"), item, name)

@@ -56,6 +56,17 @@ ORACLE: dict[str, str] = {
     "src_json_inferred": _CAR_COLUMNS,
     "src_range": """SELECT l_orderkey, unnest(generate_series(CAST(1 AS BIGINT), CAST(l_linenumber AS BIGINT)))
         AS number FROM lineitem""",
+    "src_numbers": "SELECT unnest(generate_series(CAST(1 AS BIGINT), (SELECT count(*) FROM lineitem))) AS number",
+    "lines_schema_kept": "SELECT c_custkey, c_name, c_nationkey FROM customer",
+    "ckpt_edited_file": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 <> 1",
+    "state_open_windows": """SELECT "start", "end", event_type, "count" FROM (
+        SELECT date_trunc('hour', ts) AS "start", date_trunc('hour', ts) + INTERVAL 1 HOUR AS "end",
+        event_type, count(*) AS "count" FROM events WHERE ts IS NOT NULL GROUP BY ALL)
+        WHERE "end" > (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)""",
+    "win_top1_closed": f"""SELECT * FROM ({_top(_DAY_ITEM)})
+        WHERE "end" <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
+    "win_top1_sliding_closed": f"""SELECT * FROM ({_top(_SLIDING)})
+        WHERE "end" <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
     "rdd_double": "SELECT CAST(l_orderkey AS BIGINT) * 2 AS doubled FROM lineitem",
     "src_recursive": "SELECT p_partkey, p_name FROM part",
     "lines_top1": _top(_DAY_ITEM),
@@ -72,7 +83,7 @@ ORACLE: dict[str, str] = {
         mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE AS closed FROM w WHERE event_id % 2 = 0),
         kept AS (SELECT * FROM w WHERE event_id % 2 = 0 OR "end" > (SELECT closed FROM mark))
         SELECT "start", "end", event_type, count(*) AS "count",
-        CAST((SELECT count(*) FROM w) > (SELECT count(*) FROM kept) AS INTEGER) AS late FROM kept
+        (SELECT count(*) FROM w) - (SELECT count(*) FROM kept) AS late FROM kept
         WHERE "end" <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM kept) GROUP BY ALL""",
     "batch_wm_count": """SELECT date_trunc('hour', ts) AS "start", date_trunc('hour', ts) + INTERVAL 1 HOUR AS "end",
         event_type, count(*) AS "count" FROM events GROUP BY ALL""",

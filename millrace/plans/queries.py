@@ -16,9 +16,22 @@ from millrace import functions as fn
 from millrace import operators as op
 from millrace.plans.sql import run_sql
 from millrace.schemas import CARS, STOCK_DATE_FORMAT, STOCKS
-from millrace.session import full_uri, run_folder
-from millrace.sources import csv_stream, json_stream, lines_stream, read_table, table, table_stream
-from millrace.streaming import EpochSink, KeyedTable, published, run_stream, start_stream, state_layout, stored_progress, trigger_options
+from millrace.session import delete_path, entries, full_uri, move_path, run_folder
+from millrace.sources import csv_stream, json_stream, lines_stream, numbers, read_table, table, table_stream
+from millrace.streaming import (
+    EpochSink,
+    KeyedTable,
+    kept_schema,
+    observed,
+    published,
+    run_stream,
+    start_stream,
+    state_layout,
+    state_rows,
+    stored_progress,
+    trigger_options,
+    watermark_in_force,
+)
 from millrace.streaming.backlog import SLICE, feed_slices, number_by_time, sliced_stream, write_slices
 from millrace.streaming.layout import StateLayout
 from millrace.streaming.runner import await_end
@@ -159,6 +172,12 @@ def src_range(spark: SparkSession, folder: str) -> DataFrame:
     return lines.select("l_orderkey", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("l_linenumber").cast("bigint"))).alias("number"))
 
 
+@query
+def src_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """As many numbers as there are lines, made where they are used."""
+    return numbers(spark, table(spark, folder, "lineitem").count())
+
+
 @query
 def rdd_double(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").select((F.col("l_orderkey").cast("bigint") * 2).alias("doubled"))
@@ -194,12 +213,26 @@ def lines_top1(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def lines_static_inner(spark: SparkSession, folder: str) -> DataFrame:
     """A stream of JSON lines, parsed with the inferred schema of a static read, joined with a table."""
-    path = _json_lines(spark, _customers(table(spark, folder, "customer")), "customer_lines")
-    known = read_table(spark, "json", path)
-    records = fn.json_records(lines_stream(spark, "text", path), known.schema, "customer")
+    place, path = run_folder(spark, "lines_static_inner"), _json_lines(spark, _customers(table(spark, folder, "customer")), "customer_lines")
+    known = kept_schema(spark, place, lambda: read_table(spark, "json", path).schema)
+    records = fn.json_records(lines_stream(spark, "text", path), known, "customer")
     picked = fn.pick_fields(records, "customer", {"c_custkey": "c_custkey", "c_name": "c_name", "c_nationkey": "c_nationkey"})
     joined = op.join_stream_static(picked, _orders(table(spark, folder, "orders")), "c_custkey", "o_custkey")
-    return drained(joined, "lines_static_inner").withColumn("c_nationkey", F.col("c_nationkey").cast("int"))
+    return run_stream(joined, place, schema=known).withColumn("c_nationkey", F.col("c_nationkey").cast("int"))
+
+
+@query
+def lines_schema_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """Two starts over one checkpoint. With the lines that come in between the inferred schema
+    would have a field more. The stream goes on with the schema of its first start."""
+    place, rows = run_folder(spark, "lines_schema_kept"), _customers(table(spark, folder, "customer"))
+    odd = F.col("c_custkey") % 2 == 1
+    for part in (rows.where(odd), rows.where(~odd).withColumn("a_new_field", F.lit(1.5))):
+        part.select(F.to_json(F.struct(*part.columns)).alias("value")).write.mode("append").text(f"{place}/in")
+        known = kept_schema(spark, place, lambda: read_table(spark, "json", f"{place}/in").schema)
+        records = fn.json_records(lines_stream(spark, "text", f"{place}/in"), known, "customer")
+        stored = run_stream(fn.expand(records, "customer"), place, schema=known)
+    return stored.withColumn("c_nationkey", F.col("c_nationkey").cast("int"))
 
 
 @query
@@ -416,6 +449,38 @@ def ckpt_new_run(spark: SparkSession, folder: str) -> DataFrame:
     return rows[0].union(rows[1])
 
 
+@query
+def ckpt_edited_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Three runs over one checkpoint: files, the same files with other rows in them, new files.
+
+    An edited file is not read again, a new one is.
+    """
+    place = run_folder(spark, "ckpt_edited_file")
+    rows, watched = table(spark, folder, "orders").select("o_orderkey", "o_totalprice"), f"{place}/in"
+
+    def staged(third: int) -> tuple[str, list[str]]:
+        path = f"{place}/staged-{third}"
+        rows.where(F.col("o_orderkey") % 3 == third).write.json(path)
+        return path, [name for name in entries(spark, path) if name.endswith(".json")]
+
+    def run() -> DataFrame:
+        return run_stream(json_stream(spark, watched, rows.schema), place)
+
+    path, first = staged(0)
+    for name in first:
+        move_path(spark, f"{path}/{name}", f"{watched}/{name}")
+    run()
+    path, names = staged(1)
+    for name, edited in zip(names, first):
+        delete_path(spark, f"{watched}/{edited}")
+        move_path(spark, f"{path}/{name}", f"{watched}/{edited}")
+    run()
+    path, names = staged(2)
+    for name in names:
+        move_path(spark, f"{path}/{name}", f"{watched}/{name}")
+    return run()
+
+
 @query
 def trigger_processing_time(spark: SparkSession, folder: str) -> DataFrame:
     """A running query that starts a batch every two seconds, stopped when all is read."""
@@ -443,15 +508,29 @@ def sink_csv(spark: SparkSession, folder: str) -> DataFrame:
 def late_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Even events first, then the odd ones, most of which come after their windows closed.
 
-    ``late`` is 1 if the reports tell of rows that the watermark has turned away. Their
-    number there is that of sums per task, not of rows.
+    ``late`` is the number of rows that the watermark has turned away.
     """
     places: list[str] = []
     odd = F.coalesce(F.pmod("event_id", F.lit(2)), F.lit(0)).cast("long")
-    stored = drained_in_slices(spark, folder, "late_rows", _hourly_counts, odd, watch=places.append, progress=True)
-    late = stored_progress(spark, places[0]).agg(F.sum("late_rows")).first()[0] or 0
+
+    def build(events: DataFrame, place: str) -> DataFrame:
+        known = watermark_in_force(spark, f"{place}/checkpoint") or 0
+        return op.late_safe_counts(events, "ts", "event_type", "10 minutes", "1 hour", watermark=known)
+
+    stored = drained_in_slices(spark, folder, "late_rows", build, odd, watch=places.append, progress=True)
+    late = observed(spark, places[0], op.LATE, "rows BIGINT").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("late"))
     stored = stored.withColumns({name: F.col(name).cast(NTZ) for name in ("start", "end")})
-    return stored.withColumn("late", F.lit(int(late > 0)))
+    return stored.withColumn("late", F.lit(late.first().late).cast("long"))
+
+
+@query
+def state_open_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """What the state of a watermarked count still holds when all is read: the open windows, no closed one."""
+    places: list[str] = []
+    drained_in_slices(spark, folder, "state_open_windows", _hourly_counts, watch=places.append)
+    held = state_rows(spark, f"{places[0]}/checkpoint")
+    bounds = [F.col(f"key.window.{name}").cast(NTZ).alias(name) for name in ("start", "end")]
+    return held.select(*bounds, "key.event_type", "value.count")
 
 
 def _hourly_counts(events: DataFrame, place: str) -> DataFrame:
@@ -813,6 +892,28 @@ def win_sliding_append(spark: SparkSession, folder: str) -> DataFrame:
     return stored.withColumns({name: F.col(name).cast(NTZ) for name in ("start", "end")})
 
 
+@query
+def win_top1_closed(spark: SparkSession, folder: str) -> DataFrame:
+    """Best item of each day in append mode, written once when the day is closed."""
+
+    def build(events: DataFrame, place: str) -> DataFrame:
+        return op.top_closed(purchases(events), "time", "1 day", "quantity", "item", delay="10 minutes")
+
+    stored = rounded(drained_in_slices(spark, folder, "win_top1_closed", build))
+    return stored.withColumns({name: F.col(name).cast(NTZ) for name in ("start", "end")})
+
+
+@query
+def win_top1_sliding_closed(spark: SparkSession, folder: str) -> DataFrame:
+    """Best item of each sliding day in append mode."""
+
+    def build(events: DataFrame, place: str) -> DataFrame:
+        return op.top_sliding_closed(purchases(events), "time", "1 day", "1 hour", "quantity", "item", delay="10 minutes")
+
+    stored = rounded(drained_in_slices(spark, folder, "win_top1_sliding_closed", build))
+    return stored.withColumns({name: F.col(name).cast(NTZ) for name in ("start", "end")})
+
+
 # --- the same transforms over bounded tables ---------------------------------
 
 

@@ -2,8 +2,18 @@
 
 from millrace.streaming.backlog import feed_slices, number_by_time, slice_manifest, sliced_stream, write_slices
 from millrace.streaming.keyed import KeyedTable
-from millrace.streaming.layout import StateLayout, check_layout, state_layout
-from millrace.streaming.progress import ProgressFiles, ProgressLog, event_time_line, progress_frame, stored_progress, watch
+from millrace.streaming.layout import StateLayout, check_layout, check_schema, kept_schema, state_layout
+from millrace.streaming.progress import (
+    ProgressFiles,
+    ProgressLog,
+    event_time_line,
+    observed,
+    progress_frame,
+    state_rows,
+    stored_progress,
+    watch,
+    watermark_in_force,
+)
 from millrace.streaming.runner import RunningStream, await_end, run_stream, start_stream, trigger_options
 from millrace.streaming.sinks import (
     EpochSink,
@@ -27,13 +37,16 @@ __all__ = [
     "await_end",
     "cassandra_sink",
     "check_layout",
+    "check_schema",
     "console_sink",
     "event_time_line",
     "feed_slices",
     "jdbc_sink",
     "kafka_batch_write",
     "kafka_sink",
+    "kept_schema",
     "number_by_time",
+    "observed",
     "progress_frame",
     "published",
     "run_stream",
@@ -41,8 +54,10 @@ __all__ = [
     "sliced_stream",
     "start_stream",
     "state_layout",
+    "state_rows",
     "stored_progress",
     "trigger_options",
     "watch",
+    "watermark_in_force",
     "write_slices",
 ]

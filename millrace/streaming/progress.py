@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from millrace.session import write_text
+from millrace.session import entries, read_text, write_text
 
 FIELDS = (
     "batch_id BIGINT, input_rows BIGINT, min_time STRING, avg_time STRING, max_time STRING, "
@@ -124,6 +124,37 @@ def stored_progress(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def observed(spark: SparkSession, folder: str, name: str, fields: str) -> DataFrame:
+    """The metrics that ``df.observe(name, ...)`` gave, one row per report filed in ``folder``.
+
+    ``fields`` are the metrics' names and types as DDL.
+    """
+    report = F.from_json("value", f"batchId BIGINT, observedMetrics STRUCT<`{name}`: STRUCT<{fields}>>").alias("r")
+    text = spark.read.text(f"{folder}/{REPORTS}", wholetext=True)
+    return text.select(report).select(F.col("r.batchId").alias("batch_id"), f"r.observedMetrics.{name}.*")
+
+
+def watermark_in_force(spark: SparkSession, checkpoint: str) -> int | None:
+    """The watermark, in milliseconds, that the next batch of a checkpoint starts with; None before the first.
+
+    It is the one of the newest planned batch: Spark plans a batch without data when the
+    watermark has moved, so an ended run leaves its last watermark there.
+    """
+    batches = [int(n) for n in entries(spark, f"{checkpoint}/offsets") if n.isdigit()]
+    if not batches:
+        return None
+    lines = read_text(spark, f"{checkpoint}/offsets/{max(batches)}").splitlines()
+    return json.loads(lines[1])["batchWatermarkMs"]
+
+
+def state_rows(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """The rows that a stateful operator holds in a checkpoint: structs ``key`` and ``value``.
+
+    Reads the state store of the last finished batch as a table, without running the query.
+    """
+    return spark.read.format("statestore").option("operatorId", operator).load(checkpoint).select("key", "value")
+
+
 class ProgressLog(StreamingQueryListener):
     """Keeps the newest reports of all queries of a session."""
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from millrace.streaming.layout import StateLayout, check_layout
+from millrace.streaming.layout import StateLayout, check_layout, check_schema
 from millrace.streaming.progress import ProgressFiles
 from millrace.streaming.keyed import BATCH, KeyedTable
 
@@ -65,6 +65,7 @@ def start_stream(
     trigger: Mapping[str, object] | None = None,
     order_by: Sequence[Column | str] = (),
     layout: StateLayout | None = None,
+    schema: StructType | None = None,
     fmt: str = "parquet",
 ) -> RunningStream:
     """Start writing ``df`` to Parquet below ``folder``; returns at once.
@@ -80,7 +81,8 @@ def start_stream(
     it is read: stored files keep no order. ``trigger`` comes from ``trigger_options``;
     without one, batches follow each other without a pause. ``fmt`` is the file format of
     append mode. ``layout`` is the hot-key layout the frame was built with: it must be the
-    one that the folder was first started with.
+    one that the folder was first started with, and so must ``schema``, an inferred one of the
+    records, if it is given (``kept_schema``).
     """
     if mode not in ("append", "update", "complete"):
         raise ValueError(f"unknown output mode {mode!r}")
@@ -90,6 +92,8 @@ def start_stream(
         raise ValueError("finish needs the whole result, so it goes with complete mode only")
     spark, data = df.sparkSession, f"{folder}/data"
     check_layout(spark, folder, layout)
+    if schema is not None:
+        check_schema(spark, folder, schema)
 
     def ordered(result: DataFrame) -> DataFrame:
         return result.orderBy(*order_by) if order_by else result
@@ -128,6 +132,7 @@ def run_stream(
     on_query: Callable[[StreamingQuery], None] | None = None,
     order_by: Sequence[Column | str] = (),
     layout: StateLayout | None = None,
+    schema: StructType | None = None,
     fmt: str = "parquet",
     progress: bool = False,
 ) -> DataFrame:
@@ -139,8 +144,9 @@ def run_stream(
     log = ProgressFiles(df.sparkSession, folder) if progress else nullcontext()
     with log:
         running = start_stream(
-            df, folder, mode, keys=keys, finish=finish, trigger=trigger_options(), order_by=order_by, layout=layout, fmt=fmt
-        )
+            df, folder, mode, keys=keys, finish=finish, trigger=trigger_options(), order_by=order_by, layout=layout,
+            schema=schema, fmt=fmt,
+        )
         await_end(running.query, timeout)
     if on_query is not None:
         on_query(running.query)
