@@ -76,23 +76,84 @@ def join_tables(
 
     Keys named in ``hot`` (see ``hot_keys``) are dealt over ``salts`` groups without the
     help of adaptive execution: rows of the kept side get a salt, those of the other side
-    a copy per salt. A full join with hot keys is the left join and, in a second pass, the
-    right rows without a partner.
+    a copy per salt.
+
+    Adaptive execution does not split a full join. Its hot keys are measured on both sides
+    first, also when none are named, and dealt as ``_full_join`` says.
     """
     kind = _kind(how)
+    if kind == "full":
+        return _full_join(left, right, left_key, right_key, hot)
     if kind in ("left_semi", "left_anti"):
         right = _few(right, right_key)
     if not hot:
         return left.join(right, F.col(left_key) == F.col(right_key), kind)
-    if kind == "full":
-        matched = _salted_join(left, right, left_key, right_key, "left", hot, salts)
-        lone = _salted_join(right, _few(left, left_key), right_key, left_key, "left_anti", hot, salts)
-        return matched.unionByName(lone, allowMissingColumns=True)
     if kind == "right":
         return _salted_join(right, left, right_key, left_key, "left", hot, salts).select(*left.columns, *right.columns)
     return _salted_join(left, right, left_key, right_key, kind, hot, salts)
 
 
+def _full_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, named: Sequence = ()) -> DataFrame:
+    """Full join of tables in one pass, with the rows of hot keys (and of no key) dealt over groups.
+
+    The rows of a hot key are dealt by a hash on the side that has more of them. The other
+    side's rows of that key get a copy for each group that the dealt side really has, so every
+    copy meets a partner and none comes out as a lone row. Rows of a hot key that the other
+    side does not have stay single, and are lone once each. Which groups there are is counted
+    beforehand, from the key and the rows' hashes alone: about eight to each shuffle partition.
+    """
+    spark = left.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = max(0.5 / width, LEAST_SHARE)
+    counts = [_hot_counts(df, key, share, named) for df, key in ((left, left_key), (right, right_key))]
+    if not any(n for n, _ in counts):
+        return left.join(right, F.col(left_key) == F.col(right_key), "full")
+
+    groups: list[dict] = [{}, {}]  # by side, the number of groups of each key that it deals
+    for key in {k for n, _ in counts for k in n if k is not None}:
+        rows = [n.get(key, 0) for n, _ in counts]
+        side = 0 if rows[0] >= rows[1] else 1
+        groups[side][key] = min(8 * width, math.ceil(4 * rows[side] / (share * counts[side][1])))
+    present = [
+        _groups_present(df, key, groups[side]) for side, (df, key) in enumerate(((left, left_key), (right, right_key)))
+    ]
+    dealt = _dealt(left, left_key, groups[0], present[1], width, "_lsalt")
+    other = _dealt(right, right_key, groups[1], present[0], width, "_rsalt")
+    same = (F.col(left_key) == F.col(right_key)) & (F.col("_lsalt") == F.col("_rsalt"))
+    return dealt.join(other, same, "full").select(*left.columns, *right.columns)
+
+
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*(_hashable(df) or [F.lit(0)]))
+
+
+def _lookup(df: DataFrame, key: str, rows: list[tuple], fields: str) -> DataFrame:
+    """The frame with the fields of a table of few rows, one per hot key; null elsewhere."""
+    kind = df.schema[key].dataType.simpleString()
+    table = df.sparkSession.createDataFrame(rows, f"_hot {kind}, {fields}")
+    return df.join(F.broadcast(table), F.col(key) == F.col("_hot"), "left").drop("_hot")
+
+
+def _groups_present(df: DataFrame, key: str, groups: dict) -> dict:
+    """For each key that a side deals, the groups that have a row."""
+    if not groups:
+        return {}
+    hot = _lookup(df, key, list(groups.items()), "_groups long").where("_groups IS NOT NULL")
+    group = F.pmod(_row_hash(df), F.col("_groups")).alias("group")
+    found: dict = {}
+    for row in hot.select(F.col(key).alias("key"), group).distinct().collect():
+        found.setdefault(row.key, []).append(row.group)
+    return found
+
+
+def _dealt(df: DataFrame, key: str, own: dict, others: dict, width: int, name: str) -> DataFrame:
+    """Rows with a group: of its own key by hash, a copy for each group of the other side's keys, else 0."""
+    table = [(k, n, None) for k, n in own.items()] + [(k, None, sorted(g)) for k, g in others.items() if k not in own]
+    known = _lookup(df, key, table, "_groups long, _copies array<long>")
+    own_group = F.pmod(_row_hash(df), F.coalesce("_groups", F.when(F.col(key).isNull(), F.lit(width)), F.lit(1)))
+    return known.withColumn(name, F.explode(F.coalesce("_copies", F.array(own_group)))).drop("_groups", "_copies")
+
+
 def _salted_join(
     kept: DataFrame, other: DataFrame, kept_key: str, other_key: str, kind: str, hot: Sequence, salts: int
 ) -> DataFrame:
@@ -133,18 +194,27 @@ def hot_layout(df: DataFrame, key: str, share: float | None = None) -> StateLayo
     """Hot keys of a bounded frame and the number of salts that brings each below half a partition's part."""
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = max(share if share is not None else 0.5 / width, LEAST_SHARE)
-    found = df.select(F.col(key).alias("key")).freqItems(["key"], share).first()[0]
-    candidates = [value for value in found if value is not None]
-    if not candidates:
-        return StateLayout()
-    candidate = F.when(F.col(key).isin(candidates), F.col(key)).alias("key")
-    counts = df.select(candidate).groupBy("key").agg(F.count(F.lit(1)).alias("n")).collect()
-    total = sum(row.n for row in counts)
-    hot = {row.key: row.n / total for row in counts if row.key is not None and row.n > share * total}
+    counts, total = _hot_counts(df, key, share)
+    hot = {k: n / total for k, n in counts.items() if k is not None}
     salts = min(2 * width, math.ceil(max(hot.values()) / share)) if hot else 1
     return StateLayout(tuple(sorted(hot)), salts)
 
 
+def _hot_counts(df: DataFrame, key: str, share: float, named: Sequence = ()) -> tuple[dict, int]:
+    """Rows of each key with more than ``share`` of the frame, null included, and of the whole frame.
+
+    ``named`` keys are counted whatever their share.
+    """
+    found = df.select(F.col(key).alias("key")).freqItems(["key"], share).first()[0]
+    candidates = list({v for v in [*(found or ()), *named] if v is not None})
+    candidate = F.when(F.col(key).isin(candidates), F.col(key)) if candidates else F.lit(None)
+    marked = df.select(candidate.alias("key"), F.col(key).isNull().alias("missing"))
+    counts = marked.groupBy("key", "missing").agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(row.n for row in counts)
+    hot = {r.key: r.n for r in counts if (r.key is not None or r.missing) and (r.n > share * total or r.key in named)}
+    return hot, total
+
+
 def _is_hot(key: str, hot: Sequence) -> Column:
     missing = F.col(key).isNull()
     return (missing | F.col(key).isin(list(hot))) if hot else missing

@@ -78,6 +78,38 @@ def test_salts_spread_a_hot_key_without_adaptive_execution(spark, settings, kind
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+@pytest.mark.parametrize("sides", [(True, False), (False, True), (True, True)])
+def test_a_full_join_spreads_its_hot_key_unnamed(spark, settings, sides):
+    """A third of the rows on one key of either side or both, which the other has or not; some keys missing."""
+    left = side(spark, "l", 6000, sides[0], 0).withColumn("l_key", F.when(F.col("l_id") % 7 != 2, F.col("l_key")))
+    right = side(spark, "r", 600 if sides[0] else 6000, sides[1], 20)
+    right = right.withColumn("r_key", F.when(F.col("r_id") % 7 != 2, F.col("r_key")))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for partner in (F.col("r_id") % 40 + 30, F.when(F.col("r_id") == 3, 1).otherwise(F.col("r_key"))):
+            other = right if sides[1] else right.withColumn("r_key", partner.cast("long"))
+            joined = op.join_tables(left, other, "l_key", "r_key", "full")
+            plan = joined._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("Range (") == 2 and plan.count("FullOuter") == 1
+            hot = (F.col("l_key") == 1) | (F.col("r_key") == 1)
+            for rare in (hot, F.col("l_key").isNull() & F.col("r_key").isNull()):
+                parts = [r["count"] for r in joined.where(rare).groupBy(F.spark_partition_id()).count().collect()]
+                assert not parts or sum(parts) < 300 or max(parts) < 0.5 * sum(parts)
+            assert rows(joined) == rows(left.join(other, left.l_key == other.r_key, "full"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("kind", ["string", "double", "date"])
+def test_full_joins_of_other_key_types(spark, settings, kind):
+    left, right = side(spark, "l", 900, True, 0), side(spark, "r", 300, True, 20)
+    typed = lambda c: F.date_add(F.lit("2024-01-01"), F.col(c).cast("int")) if kind == "date" else F.col(c).cast(kind)
+    left, right = left.withColumn("l_key", typed("l_key")), right.withColumn("r_key", typed("r_key"))
+    expected = rows(left.join(right, left.l_key == right.r_key, "full"))
+    assert rows(op.join_tables(left, right, "l_key", "r_key", "full")) == expected
+    assert rows(op.join_tables(left, right.limit(0), "l_key", "r_key", "full")) == rows(left.join(right.limit(0), left.l_key == right.r_key, "full"))
+
+
 def test_native_joins_read_each_side_once(spark, settings):
     left, right = side(spark, "l", 40, False, 0), side(spark, "r", 40, False, 20)
     for kind in ("right", "full"):
