@@ -4,11 +4,13 @@ from millrace.operators.aggregates import count_by, count_where, mean_of, spread
 from millrace.operators.filters import above, differs_from
 from millrace.operators.joins import (
     STREAM_JOINS,
+    full_interval_join,
     hot_keys,
     hot_layout,
     join_stream_static,
     join_streams,
     join_tables,
+    settle_full,
 )
 from millrace.operators.windows import (
     LATE,
@@ -33,6 +35,7 @@ __all__ = [
     "count_by",
     "count_where",
     "differs_from",
+    "full_interval_join",
     "hot_keys",
     "hot_layout",
     "join_stream_static",
@@ -42,6 +45,7 @@ __all__ = [
     "mean_of",
     "pane_totals",
     "processing_time_chars",
+    "settle_full",
     "slide_panes",
     "sliding_totals",
     "sliding_totals_closed",

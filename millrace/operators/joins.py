@@ -303,8 +303,9 @@ def join_streams(
     ``salts`` groups, at the price of as many copies of their partners.
 
     Copies are made of the side that the join does not keep, so every kept row is
-    judged once. A full join keeps both sides; it is a left join plus the unmatched
-    rows of a right join.
+    judged once. A full join keeps both sides; here it is a left join plus the unmatched
+    rows of a right join. ``full_interval_join`` does it with one join and half the state,
+    for results that are read through ``settle_full``.
     """
     kind = _kind(how)
     ranged = within is not None
@@ -328,6 +329,57 @@ def join_streams(
     return _spread_join(left, right, left_key, right_key, kind, left_time, right_time, within, hot, salts)
 
 
+def full_interval_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    *,
+    left_time: str,
+    right_time: str,
+    within: int,
+    delay: str | None = None,
+    hot: Sequence = (),
+    salts: int = 8,
+) -> DataFrame:
+    """Full join within a time range by a single (stateful) join; read it through ``settle_full``.
+
+    Arguments are those of ``join_streams``. Left rows stand once in the state, right rows
+    once per stretch that they may meet, and per salt of a hot key. A pair comes out once, and
+    so does a lone left row. A right row comes out once for each of its copies that met
+    nothing. All copies of a row leave the state together, as that depends on its time alone,
+    so in any finished batch either all lone copies of a row are there or none, and a row is
+    lone if all its copies are.
+    """
+    if left.isStreaming or right.isStreaming:
+        if delay is None:
+            raise ValueError("a time range on streams needs a watermark delay")
+        left, right = left.withWatermark(left_time, delay), right.withWatermark(right_time, delay)
+    columns = left.columns + right.columns
+    many = F.col(right_key).isin(list(hot)) if hot else F.lit(False)
+    right = right.withColumn("_copies", F.when(many, F.lit(2 * salts)).otherwise(F.lit(2)))
+    joined = _spread_join(
+        left.withColumn("_left", F.lit(True)), right, left_key, right_key, "full", left_time, right_time, within, hot, salts,
+        keep=["_left", "_copies", "_rsalt", "_rslot"],
+    )
+    return joined.select(*columns, "_left", "_copies", F.struct("_rsalt", "_rslot").alias("_copy"))
+
+
+def settle_full(stored: DataFrame, right_columns: Sequence[str]) -> DataFrame:
+    """The rows of a full join from what ``full_interval_join`` gave.
+
+    Lone copies of right rows are grouped by all their columns, which must be of types that can
+    be grouped; equal rows come back as often as they were there.
+    """
+    columns = [c for c in stored.columns if c not in ("_left", "_copies", "_copy")]
+    met = stored.where(F.col("_left").isNotNull()).select(*columns)
+    lone = stored.where(F.col("_left").isNull()).groupBy(*right_columns, "_copies")
+    lone = lone.agg(F.count(F.lit(1)).alias("_n"), F.size(F.collect_set("_copy")).alias("_lone"))
+    times = (F.col("_n") / F.col("_copies")).cast("int")
+    lone = lone.where(F.col("_lone") == F.col("_copies")).withColumn("_n", F.explode(F.array_repeat(F.lit(0), times)))
+    return met.unionByName(lone.select(*right_columns), allowMissingColumns=True)
+
+
 def _spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -339,8 +391,10 @@ def _spread_join(
     within: int | None,
     hot: Sequence,
     salts: int,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     columns = left.columns if kind == "left_semi" else left.columns + right.columns
+    columns = list(dict.fromkeys([*columns, *keep]))
     keeps_right = kind == "right"
     condition = F.col(left_key) == F.col(right_key)
 

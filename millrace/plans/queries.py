@@ -756,6 +756,10 @@ def _buys(events: DataFrame) -> DataFrame:
     )
 
 
+BUYS = ["buy_id", "b_user", "b_ts"]
+CLICK_TO_BUY = {"left_time": "c_ts", "right_time": "b_ts", "within": TWO_HOURS, "delay": "10 minutes"}
+
+
 def _user_layout(spark: SparkSession, folder: str) -> StateLayout:
     """Hot users among the events that the click and purchase joins take."""
     events = table(spark, folder, "events").where("event_type IN ('click', 'purchase')")
@@ -765,22 +769,15 @@ def _user_layout(spark: SparkSession, folder: str) -> StateLayout:
 def _click_then_buy(spark: SparkSession, folder: str, how: str) -> DataFrame:
     def build(events: DataFrame, place: str) -> DataFrame:
         layout = state_layout(spark, place, lambda: measured)
-        return op.join_streams(
-            _clicks(events),
-            _buys(events),
-            "c_user",
-            "b_user",
-            how,
-            left_time="c_ts",
-            right_time="b_ts",
-            within=TWO_HOURS,
-            delay="10 minutes",
-            hot=layout.hot,
-            salts=layout.salts,
-        )
+        hot = {"hot": layout.hot, "salts": layout.salts}
+        clicks, buys = _clicks(events), _buys(events)
+        if how == "full":
+            return op.full_interval_join(clicks, buys, "c_user", "b_user", **CLICK_TO_BUY, **hot)
+        return op.join_streams(clicks, buys, "c_user", "b_user", how, **CLICK_TO_BUY, **hot)
 
     measured = _user_layout(spark, folder)
-    stored = drained_in_slices(spark, folder, f"stream_interval_{how}", build, layout=measured)
+    read = (lambda stored: op.settle_full(stored, BUYS)) if how == "full" else None
+    stored = drained_in_slices(spark, folder, f"stream_interval_{how}", build, layout=measured, read=read)
     return stored.withColumns({name: F.col(name).cast(NTZ) for name in ("c_ts", "b_ts") if name in stored.columns})
 
 

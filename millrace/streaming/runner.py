@@ -66,6 +66,7 @@ def start_stream(
     order_by: Sequence[Column | str] = (),
     layout: StateLayout | None = None,
     schema: StructType | None = None,
+    read: Callable[[DataFrame], DataFrame] | None = None,
     fmt: str = "parquet",
 ) -> RunningStream:
     """Start writing ``df`` to Parquet below ``folder``; returns at once.
@@ -82,7 +83,8 @@ def start_stream(
     without one, batches follow each other without a pause. ``fmt`` is the file format of
     append mode. ``layout`` is the hot-key layout the frame was built with: it must be the
     one that the folder was first started with, and so must ``schema``, an inferred one of the
-    records, if it is given (``kept_schema``).
+    records, if it is given (``kept_schema``). ``read`` is applied to the stored rows whenever
+    the result is read (``settle_full``).
     """
     if mode not in ("append", "update", "complete"):
         raise ValueError(f"unknown output mode {mode!r}")
@@ -96,6 +98,7 @@ def start_stream(
         check_schema(spark, folder, schema)
 
     def ordered(result: DataFrame) -> DataFrame:
+        result = result if read is None else read(result)
         return result.orderBy(*order_by) if order_by else result
 
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint")
@@ -133,6 +136,7 @@ def run_stream(
     order_by: Sequence[Column | str] = (),
     layout: StateLayout | None = None,
     schema: StructType | None = None,
+    read: Callable[[DataFrame], DataFrame] | None = None,
     fmt: str = "parquet",
     progress: bool = False,
 ) -> DataFrame:
@@ -145,7 +149,7 @@ def run_stream(
     with log:
         running = start_stream(
             df, folder, mode, keys=keys, finish=finish, trigger=trigger_options(), order_by=order_by, layout=layout,
-            schema=schema, fmt=fmt,
+            schema=schema, read=read, fmt=fmt,
         )
         await_end(running.query, timeout)
     if on_query is not None:

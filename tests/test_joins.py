@@ -253,6 +253,29 @@ def test_interval_join_over_many_batches(spark, tmp_path, how):
     assert rows(stored) == sorted(_brute_force(left, right, how), key=repr)
 
 
+@pytest.mark.parametrize("hot", [(), (1,)])
+def test_a_full_join_by_one_stateful_join(spark, tmp_path, hot):
+    """Many batches, equal rows, and lone rows near both ends of a stretch."""
+    left, right = _views_and_buys(spark, hot_share=0.4)
+    left, right = left.where("v_user is not null"), right.where("b_user is not null")
+    right = right.unionByName(right.where(F.pmod(F.xxhash64(*right.columns), F.lit(3)) == 0))
+    seen = []
+
+    def join(lefts, rights):
+        return op.full_interval_join(lefts, rights, "v_user", "b_user", hot=hot, salts=3, **RANGE)
+
+    stored = run_stream(
+        join(_in_time_order(spark, left, "v_ts", tmp_path / "l", 4), _in_time_order(spark, right, "b_ts", tmp_path / "r", 4)),
+        str(tmp_path / "run"), read=lambda raw: op.settle_full(raw, right.columns), on_query=seen.append,
+    )
+    plan = seen[0]._jsq.explainInternal(False)
+    assert plan.count("StreamingSymmetricHashJoin") == 1 and len(seen[0].lastProgress.stateOperators) == 1
+    assert rows(stored) == sorted(_brute_force(left, right, "full"), key=repr)
+    near = (F.col("b_ts") >= F.col("v_ts")) & (F.col("b_ts") <= F.col("v_ts") + F.expr("INTERVAL 2 HOURS"))
+    plain = left.join(right, (F.col("v_user") == F.col("b_user")) & near, "full")
+    assert rows(op.settle_full(join(left, right), right.columns)) == rows(plain)
+
+
 def test_interval_join_has_no_anti(spark, tmp_path):
     left, right = _views_and_buys(spark, 0.4)
     left, right = as_stream(spark, left, tmp_path), as_stream(spark, right, tmp_path)
