@@ -23,6 +23,8 @@ MEASURES = {
     "byte_fallback": "upper",
     "piece_entropy": "both",
 }
+#: Least spread of a measure, as a share of its middle.
+FLOOR = 0.02
 #: Rows of one language are dealt over so many groups when they meet its bands.
 SALTS = 32
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens"]
@@ -116,19 +118,21 @@ def measure(documents: DataFrame, keys: list[str], text: str = "text", *, folder
     return map_batches(rows, make, ", ".join(types))
 
 
-def bands(measures: DataFrame, group: str, width: float, least: int) -> DataFrame:
+def bands(measures: DataFrame, group: str, doubt: float) -> DataFrame:
     """Middle and spread of every measure per group, over all rows that pass the base rules.
 
     The spread is the distance of the quartiles over that of a normal distribution with
-    spread 1. Quantiles come from mergeable sketches. Groups under ``least`` rows get no band.
+    spread 1, and at least ``FLOOR`` of the middle. ``1 + doubt / rows`` times the spread
+    allows for what few rows can tell. Quantiles come from mergeable sketches.
     """
     quarter = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     table = measures.where(~F.col("base_failed")).groupBy(group)
     table = table.agg(F.count("*").alias("_n"), *[F.percentile_approx(m, quarter, 10_000).alias(m) for m in MEASURES])
-    return table.where(F.col("_n") >= least).select(
+    spread = {m: F.greatest((F.col(m)[2] - F.col(m)[0]) / 1.349, FLOOR * F.abs(F.col(m)[1])) for m in MEASURES}
+    return table.select(
         F.col(group).alias("_group"),
         *[F.col(m)[1].alias(f"_mid_{m}") for m in MEASURES],
-        *[((F.col(m)[2] - F.col(m)[0]) / 1.349 * width).alias(f"_width_{m}") for m in MEASURES],
+        *[(s * (1 + F.lit(doubt) / F.col("_n"))).alias(f"_spread_{m}") for m, s in spread.items()],
     )
 
 
@@ -141,7 +145,7 @@ def quality_rules(
     keep: list[str] | None = None,
     width: float = 5.0,
     short: float = 200.0,
-    least: int = 100,
+    doubt: float = 100.0,
     folder: str | None = None,
 ) -> DataFrame:
     """One row per document: base counts, fertility measures, ``base_failed`` and ``kept``.
@@ -149,16 +153,17 @@ def quality_rules(
     The base rules fail texts of fewer than 50 words and texts of which more than half the
     words lie in repeated three-word windows. A text that passes them is rejected if a
     measure lies more than ``width`` spreads from the middle of its language (a null
-    language is a language of its own), or above it only for the fallback shares. The
-    limit is wider by ``sqrt(1 + short / tokens)`` for short texts. Languages with fewer
-    than ``least`` such texts have no band and keep them. Null, empty and blank texts have
-    0 words and fail. Repeated rows are judged alike and all returned; other columns
+    language counts as an empty one), or above it only for the fallback shares. The
+    limit is wider by ``sqrt(1 + short / tokens)`` for short texts and by
+    ``1 + doubt / texts`` for languages with few texts. A fallback share has a spread of one
+    token of the text at least, so a single rare sign (at most four tokens) rejects no text
+    where others have none. Null, empty and blank texts have 0 words and fail. Repeated rows are judged alike and all returned; other columns
     than those in ``keep`` are ignored. The measures are written to the shared folder once, the texts are not shuffled.
     """
     found = measure(documents.withColumn("_lang", F.coalesce(F.col(lang).cast("string"), F.lit(""))), [key, "_lang", *(keep or [])], text, folder=folder)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     found = saved(found.withColumn("base_failed", failed), "fertility")
-    limits = bands(found, "_lang", width, least)
+    limits = bands(found, "_lang", doubt)
     salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
     limits = limits.select("*", F.explode(salts).alias("_limit_salt"))
     found = found.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)))
@@ -167,7 +172,11 @@ def quality_rules(
     odd = F.lit(False)
     for name, side in MEASURES.items():
         off = F.col(name) - F.col(f"_mid_{name}")
-        off = F.abs(off) if side == "both" else off
-        odd = odd | F.coalesce(off > F.col(f"_width_{name}") * scale + 1e-9, F.lit(False))
+        spread = F.col(f"_spread_{name}")
+        if side == "both":
+            off = F.abs(off)
+        else:
+            spread = F.greatest(spread, 1 / F.greatest(F.col("n_tokens"), F.lit(1)))
+        odd = odd | F.coalesce(off > width * spread * scale + 1e-9, F.lit(False))
     kept = ~F.col("base_failed") & ~odd
     return joined.select(key, *(keep or []), *COUNTS, *MEASURES, "base_failed", kept.alias("kept"))

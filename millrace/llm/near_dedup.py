@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.tables import map_batches, saved
+from millrace.llm.tables import map_batches, salted, saved
 from millrace.llm.text import chunks, mix, shingle_set, text_buffer
 
 VALUES = 256
@@ -19,7 +19,8 @@ REGIONS, REGION_DEPTH = 16, 3
 ORDERS, SORT_DEPTH, LEAST_DEPTH = 16, 16, 2
 NEIGHBOURS, BEST = 24, 2
 QUIET_ROUNDS = 2
-MARGIN = 0.1
+MARGIN = 0.15
+SKETCH = VALUES // 8
 _SEED = mix(np.arange(1, 2 * VALUES + 1, dtype=np.uint64))
 _XOR = (_SEED[:VALUES] >> np.uint64(32)).astype(np.uint32)[:, None]
 _TIMES = (_SEED[VALUES:] >> np.uint64(32)).astype(np.uint32)[:, None] | np.uint32(1)
@@ -44,7 +45,7 @@ def region_keys(values: np.ndarray) -> np.ndarray:
 
 
 def signatures(documents: DataFrame, key: str, text: str, length: int) -> DataFrame:
-    """Per document: ``id``, set size ``n``, set ``fingerprint``, ``regions`` keys, ``signature`` bytes."""
+    """Per document: ``id``, set size ``n``, set ``fingerprint``, ``regions`` keys, ``signature`` bytes and their lowest bits."""
 
     def make():
         def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -53,6 +54,7 @@ def signatures(documents: DataFrame, key: str, text: str, length: int) -> DataFr
                 values = np.stack([min_values(s) for s in sets])
                 regions = region_keys(values)
                 signature = mix(values.astype(np.uint64)).astype(np.uint8)
+                sketch = np.packbits(signature & 1, axis=1)
                 prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -63,21 +65,28 @@ def signatures(documents: DataFrame, key: str, text: str, length: int) -> DataFr
                             np.arange(0, regions.size + 1, REGIONS, dtype=np.int32), regions.reshape(-1)
                         ),
                         pa.array([row.tobytes() for row in signature], pa.binary()),
+                        pa.array([row.tobytes() for row in sketch], pa.binary()),
                     ],
-                    ["id", "n", "fingerprint", "regions", "signature"],
+                    ["id", "n", "fingerprint", "regions", "signature", "sketch"],
                 )
 
         return work
 
     rows = documents.select(F.col(key).cast("bigint"), F.col(text).cast("string"))
-    return map_batches(rows, make, "id bigint, n bigint, fingerprint binary, regions array<bigint>, signature binary")
+    return map_batches(rows, make, "id bigint, n bigint, fingerprint binary, regions array<bigint>, signature binary, sketch binary")
+
+
+def _salt(rows: DataFrame) -> DataFrame:
+    """A group for each row, by which the rows of one hot key are dealt over all partitions."""
+    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
 
 
 def crowded(distinct: DataFrame) -> DataFrame:
     """Ids that share the first three values of a region tree with another id."""
-    keyed = distinct.select("id", F.explode("regions").alias("region"))
-    shared = keyed.groupBy("region").agg(F.count("*").alias("times")).where("times > 1")
-    return keyed.join(shared, "region", "left_semi").select("id").distinct()
+    keyed = _salt(distinct.select("id", F.explode("regions").alias("region")))
+    shared = salted(keyed, ["region"]).select("region", "_salt")
+    return keyed.join(shared, ["region", "_salt"], "left_semi").select("id").distinct()
 
 
 def orders(round_: int) -> np.ndarray:
@@ -87,15 +96,18 @@ def orders(round_: int) -> np.ndarray:
     )[:, :SORT_DEPTH]
 
 
-def neighbour_pairs(members: DataFrame, round_: int, threshold: float) -> DataFrame:
+def neighbour_pairs(members: DataFrame, round_: int, quiet: int, threshold: float) -> DataFrame:
     """Pairs of near neighbours of different components in one round's sorted orders.
 
-    ``members`` has ``id``, ``component`` and ``signature``. The rows are sorted by each
-    order's values; a row looks at the 24 after it that share at least the first two
+    ``members`` has ``id``, ``component``, ``signature`` and ``sketch``. The rows are sorted by
+    each order's values; a row looks at the 24 after it that share at least the first two
     values. Where many rows are alike these share long prefixes, where few are alike short
-    ones: the depth adapts to the region. Of pairs whose signatures agree in at least
-    ``threshold`` less 0.1 of the values, each row keeps the two best on either side.
+    ones: the depth adapts to the region. Only the order's own values and the sketch, one bit
+    of each value, are sorted. Of pairs whose sketches speak for an overlap of at least
+    ``threshold`` less 0.15 (four times what chance takes off), each row keeps the two best on
+    either side, and looks at more of them after rounds that were quiet.
     """
+    reach, best = NEIGHBOURS * (1 + quiet), BEST * (1 + quiet)
     picks = orders(round_)
     keys = [
         F.struct(
@@ -104,19 +116,20 @@ def neighbour_pairs(members: DataFrame, round_: int, threshold: float) -> DataFr
         )
         for t in range(ORDERS)
     ]
-    rows = members.select("id", "component", "signature", F.explode(F.array(*keys)).alias("k"))
-    rows = rows.select("k.tree", "k.prefix", "id", "component", "signature")
+    rows = members.select("id", "component", "sketch", F.explode(F.array(*keys)).alias("k"))
+    rows = rows.select("k.tree", "k.prefix", "id", "component", "sketch")
     rows = rows.repartitionByRange("tree", "prefix", "id").sortWithinPartitions("tree", "prefix", "id")
     least = threshold - MARGIN
 
-    def near(tree, prefix, ids, component, signature):
+    def near(tree, prefix, ids, component, sketch):
         firsts, seconds, agree = [], [], []
-        for step in range(1, min(NEIGHBOURS, len(ids) - 1) + 1):
+        for step in range(1, min(reach, len(ids) - 1) + 1):
             same = (tree[step:] == tree[:-step]) & (component[step:] != component[:-step])
             same &= (prefix[step:, :LEAST_DEPTH] == prefix[:-step, :LEAST_DEPTH]).all(axis=1)
             at = np.flatnonzero(same)
             if len(at):
-                share = (signature[at] == signature[at + step]).mean(axis=1)
+                apart = np.bitwise_count(sketch[at] ^ sketch[at + step]).sum(axis=1, dtype=np.int64)
+                share = 1 - 2 * apart / VALUES  # bits of different values are equal half the time
                 good = share >= least
                 firsts.append(at[good])
                 seconds.append(at[good] + step)
@@ -129,7 +142,7 @@ def neighbour_pairs(members: DataFrame, round_: int, threshold: float) -> DataFr
             order = np.lexsort((-share, side))
             start = np.flatnonzero(np.r_[True, side[order][1:] != side[order][:-1]]) if len(order) else order
             rank = np.arange(len(order)) - np.repeat(start, np.diff(np.r_[start, len(order)]))
-            chosen[order[rank < BEST]] = True
+            chosen[order[rank < best]] = True
         pairs = np.stack([ids[a[chosen]], ids[b[chosen]]], axis=1)
         return np.unique(np.sort(pairs, axis=1), axis=0)
 
@@ -143,11 +156,11 @@ def neighbour_pairs(members: DataFrame, round_: int, threshold: float) -> DataFr
                 np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, SORT_DEPTH),
                 batch.column(2).to_numpy(),
                 batch.column(3).to_numpy(),
-                np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(-1, VALUES),
+                np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(-1, SKETCH // 8),
             ]
             block = block if kept is None else [np.concatenate(x) for x in zip(kept, block, strict=True)]
             pairs = near(*block)
-            kept = [x[-NEIGHBOURS:] for x in block]
+            kept = [x[-reach:] for x in block]
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return rows.mapInArrow(run, "a bigint, b bigint").distinct()
@@ -199,12 +212,14 @@ def near_duplicates(
     spark = documents.sparkSession
     signed = saved(signatures(documents, key, text, length), "signatures")
     nodes = signed.where("n > 0 AND id IS NOT NULL")
-    first = nodes.groupBy("fingerprint").agg(F.min("id").alias("first"))
-    copies = nodes.select("id", "fingerprint").join(first, "fingerprint").where("id != first")
-    links = saved(copies.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct(), "links")
-    distinct = nodes.join(first, "fingerprint").where("id = first")
-    busy = crowded(distinct)
-    members = saved(distinct.join(busy, "id", "left_semi").select("id", "signature").dropDuplicates(["id"]), "members")
+    alike = _salt(nodes.select("id", "fingerprint"))
+    first = salted(alike, ["fingerprint"], F.min("id").alias("first"))
+    copies = alike.join(first, ["fingerprint", "_salt"]).where("id != first").select("id", "first").distinct()
+    links = saved(copies.select(F.col("id").alias("a"), F.col("first").alias("b")), "links")
+    distinct = nodes.join(links.select(F.col("a").alias("id")).hint("merge"), "id", "left_anti")
+    busy = crowded(distinct).hint("merge")
+    members = distinct.join(busy, "id", "left_semi").select("id", "signature", "sketch").dropDuplicates(["id"])
+    members = saved(members, "members")
     bodies = documents.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("body"))
     wanted = members.select("id").hint("merge")
     bodies = saved(bodies.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "bodies")
@@ -214,8 +229,8 @@ def near_duplicates(
     round_ = quiet = 0
     while quiet < QUIET_ROUNDS:
         placed = members.join(found, F.col("id") == F.col("node"), "left")
-        placed = placed.select("id", F.coalesce("component", "id").alias("component"), "signature")
-        pairs = neighbour_pairs(placed, round_, percent / 100)
+        placed = placed.select("id", F.coalesce("component", "id").alias("component"), "signature", "sketch")
+        pairs = neighbour_pairs(placed, round_, quiet, percent / 100)
         fresh = pairs.join(seen, ["a", "b"], "left_anti")
         tested = saved(confirmed(fresh, bodies, length, percent), "tested")
         seen = seen.union(tested)

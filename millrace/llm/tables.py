@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from millrace.session import run_folder
 
@@ -24,6 +26,33 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def salted(rows: DataFrame, keys: list[str], *values: Column) -> DataFrame:
+    """Aggregates of keys with several rows, with a copy for every salt that the key's rows have.
+
+    Rows join on the keys and ``_salt`` and are spread over as many groups, however many of
+    them share one key. A key has at most as many copies as rows, and as there are salts.
+    """
+    parts = rows.groupBy(*keys).agg(*values, F.collect_set("_salt").alias("_salts"), F.count(F.lit(1)).alias("_rows"))
+    return parts.where("_rows > 1").drop("_rows").withColumn("_salt", F.explode("_salts")).drop("_salts")
+
+
+def numbered(rows: DataFrame, name: str) -> DataFrame:
+    """The rows with a number of their own in column ``name``, the same whenever they are read.
+
+    The number is the place in the Parquet files the rows come from: the file's rank by path
+    and the row's index in it. Rows that come from elsewhere are written first. The list of
+    files, one short row each, is as long as Spark's own list of them.
+    """
+    try:
+        rows.select("_metadata.row_index")
+    except AnalysisException:
+        rows = saved(rows, "numbered")
+    paths = rows.select(F.col("_metadata.file_path").alias("_path")).distinct()
+    ranks = paths.select("_path", (F.row_number().over(Window.orderBy("_path")) - 1).cast("long").alias("_rank"))
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_index"))
+    return placed.join(F.broadcast(ranks), "_path").withColumn(name, F.col("_rank") * (1 << 40) + F.col("_index")).drop("_path", "_rank", "_index")
+
+
 def map_batches(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]], schema: str
 ) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import saved
+from millrace.llm.tables import salted, saved
 from millrace.session import path_exists
 
 # Fixed values of the WARC 1.1 format.
@@ -386,16 +386,6 @@ def _write_rows(pages: DataFrame, folder: str, date: str, file_bytes: int) -> Da
     return pages.mapInArrow(run, "file string, size long, records long")
 
 
-def salted(rows: DataFrame, keys: list[str], *values: Column) -> DataFrame:
-    """Aggregates of keys with several rows, with a copy for every salt that the key's rows have.
-
-    Rows join on the keys and ``_salt`` and are spread over as many groups, however many of
-    them share one key. A key has at most as many copies as rows, and as there are salts.
-    """
-    parts = rows.groupBy(*keys).agg(*values, F.collect_set("_salt").alias("_salts"), F.count(F.lit(1)).alias("_rows"))
-    return parts.where("_rows > 1").drop("_rows").withColumn("_salt", F.explode("_salts")).drop("_salts")
-
-
 def write_warc(
     pages: DataFrame,
     folder: str,

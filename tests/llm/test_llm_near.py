@@ -156,6 +156,33 @@ def test_quality_stage_drops_rows_and_not_their_keys(spark):
     assert sorted(r.text for r in left.collect()) == sorted([*good, good[2]])
 
 
+def test_stages_decide_on_rows_and_not_on_keys(spark, tmp_path):
+    """Rows of one key or of none keep their own texts; copies among them go but for one."""
+    texts = [prose(800 + k, 80) for k in range(6)]
+    docs = [(1, texts[0]), (1, texts[1]), (1, texts[2]), (None, texts[3]), (None, texts[4]), (None, texts[3]), (2, texts[2])]
+    docs += [(None, f"{texts[5]} {prose(950, 40)}")]
+    frame(spark, docs).coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    items(spark, [(1, prose(950, 40))]).select("item_id", "text").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for start in (frame(spark, docs), spark.read.parquet(f"{tmp_path}/documents.parquet")):
+        once = corpus_pipeline.near_dedup(spark, start, str(tmp_path))
+        assert sorted(r.text for r in once.collect()) == sorted({t for _, t in docs}) and once.columns == start.columns
+        clean = corpus_pipeline.decontamination(spark, start, str(tmp_path))
+        assert sorted(r.text for r in clean.collect()) == sorted(t for _, t in docs[:-1])
+
+
+def test_dense_regions_equal_brute_force(spark):
+    """Many near copies of one text, some within reach of a single other one, and a hot exact copy."""
+    draw, docs = random.Random(5), []
+    base = prose(3, 120)
+    for k in range(600):
+        docs.append((k, edited(base, k, draw.choice([0, 1, 2, 3, 4, 5, 6, 7]))))
+    docs += [(1000 + k, base) for k in range(300)]
+    expected = brute_components(docs, 5, 80)
+    found = near_duplicates(frame(spark, docs)).collect()
+    wrong = [r for r in found if (r.n_shingles, r.component_id) != expected[r.doc_id]]
+    assert len(wrong) <= 0.005 * len(docs)
+
+
 def test_pipeline_of_an_empty_table(spark, tmp_path):
     frame(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     items(spark, []).write.parquet(f"{tmp_path}/benchmark.parquet")

@@ -108,6 +108,27 @@ def test_quality_rules_reject_odd_texts_and_keep_prose(spark):
     assert found[3001].n_words == 0 and found[3001].piece_chars is None
 
 
+@pytest.mark.parametrize("sign", ["🙂", "中", "\u0001"])
+def test_one_rare_sign_rejects_no_text(spark, sign):
+    clean = [(i, prose(i, 150)) for i in range(300)]
+    rare = [(1000 + i, f"{prose(500 + i, 150)} {sign}") for i in range(10)]
+    found = {r.doc_id: r.kept for r in quality_rules(frame(spark, clean + rare)).collect()}
+    assert all(found[i] for i, _ in rare) and sum(found.values()) >= 307
+
+
+def test_bands_do_not_switch_on_with_the_size_of_a_table(spark):
+    noise = (9999, " ".join(f"{w}$$$ ###" for w in prose(500, 120).split()))
+    for size in (99, 100):
+        found = {r.doc_id: r.kept for r in quality_rules(frame(spark, [(i, prose(i, 150)) for i in range(size)] + [noise])).collect()}
+        assert not found[9999] and sum(found.values()) >= size - 1
+
+
+def test_copies_of_one_text_leave_room_for_others(spark):
+    """Where most texts are one text, quartiles coincide; others like it stay."""
+    docs = [(i, prose(1, 150)) for i in range(200)] + [(300 + i, prose(1 + i, 150)) for i in range(20)]
+    assert sum(r.kept for r in quality_rules(frame(spark, docs)).collect()) >= 215
+
+
 def test_quality_rules_on_odd_documents(spark):
     rows = odd()
     found = quality_rules(frame(spark, rows)).collect()
