@@ -2,8 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet
 and read again as the next one's ``docs``. All but the last keep the columns of documents
-and every document they do not decide against, rows with a null key or text included where
-the operator keeps them.
+and every row they do not decide against; decisions are made on rows, not on keys.
 """
 
 from __future__ import annotations
@@ -16,55 +15,56 @@ from millrace.llm.decontamination import contaminated
 from millrace.llm.fertility import quality_rules
 from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.packing import pack_documents
-from millrace.llm.tables import read, saved
+from millrace.llm.tables import numbered, read, saved
 
 ORACLE_SQL = None
+ROW = "__row"
 
 
-def keyed(docs: DataFrame, ids: DataFrame, how: str, *, many: bool = False) -> DataFrame:
-    """The documents whose key is (left_semi) or is not (left_anti) among ``ids``.
+def without(docs: DataFrame, rows: DataFrame, *, many: bool = False) -> DataFrame:
+    """Numbered documents less the rows of these numbers, and without the number.
 
-    ``many`` says that the ids grow with the documents: they are then never broadcast.
+    ``many`` says that the rows grow with the documents: they are then never broadcast.
     """
-    wanted = ids.select(F.col("doc_id").alias("__id")).distinct()
-    wanted = wanted.hint("merge") if many else wanted
-    return docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")), how)
+    gone = rows.select(F.col(ROW).alias("__gone")).distinct()
+    gone = gone.hint("merge") if many else gone
+    return docs.join(gone, F.col(ROW) == F.col("__gone"), "left_anti").drop(ROW)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie inside the fertility bands of their language.
 
-    The verdict holds for key, text and language together, not for other rows of the key.
+    Null, empty and short texts go. Each row is judged for itself, also where others have its
+    key or its text; null keys do not count.
     """
-    mark = F.xxhash64("text", "lang", F.isnull("text"), F.isnull("lang"))
-    marked = docs.withColumn("__mark", mark)
-    gone = quality_rules(marked, keep=["__mark"]).where("NOT kept")
-    gone = gone.select(F.col("doc_id").alias("__id"), F.col("__mark").alias("__gone")).distinct().hint("merge")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__gone"))
-    return marked.join(gone, same, "left_anti").drop("__mark")
+    rows = numbered(docs, ROW)
+    return without(rows, quality_rules(rows, key=ROW).where("NOT kept"), many=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, that with the smallest key; one row of it.
+    """One row of each near-duplicate group, the first in the order of the stored files.
 
-    Rows with a null key all stay.
+    Rows are told apart by their place, so of rows with one key and different texts each is
+    judged by its own text, and rows with a null key take part. Null and empty texts stay.
     """
-    gone = saved(near_duplicates(docs).where("NOT kept").select("doc_id"), "near_duplicates")
-    again = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    again = saved(again.select("doc_id"), "repeated_keys")
-    once = keyed(docs, gone.union(again), "left_anti", many=True)
-    return once.union(keyed(keyed(docs, again, "left_semi"), gone, "left_anti").dropDuplicates(["doc_id"]))
+    rows = numbered(docs, ROW)
+    return without(rows, saved(near_duplicates(rows, key=ROW).where("NOT kept").select(ROW), "near_duplicates"), many=True)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that an earlier document has; emptied ones go."""
-    return without_passages(docs, repeated_passages(docs))
+    """Documents without the passages that an earlier row has; emptied ones go.
+
+    Rows are told apart by their place, so null and repeated keys are searched like others.
+    Null texts stay.
+    """
+    rows = numbered(docs, ROW)
+    return without_passages(rows, repeated_passages(rows, key=ROW), key=ROW).drop(ROW)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = saved(contaminated(docs, read(spark, sf_dir, "benchmark")).select("doc_id"), "contaminated")
-    return keyed(docs, found, "left_anti")
+    """Documents that hold no benchmark item; rows are judged one by one, those with a null key too."""
+    rows = numbered(docs, ROW)
+    return without(rows, saved(contaminated(rows, read(spark, sf_dir, "benchmark"), key=ROW).select(ROW), "contaminated"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
