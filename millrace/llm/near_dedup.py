@@ -19,8 +19,10 @@ REGIONS, REGION_DEPTH = 16, 3
 ORDERS, SORT_DEPTH, LEAST_DEPTH = 16, 16, 2
 NEIGHBOURS, BEST = 24, 2
 QUIET_ROUNDS = 2
-MARGIN = 0.15
-SKETCH = VALUES // 8
+MARGIN = 0.1
+#: Two bits of each value, 32 values to a word.
+SKETCH_WORDS = VALUES // 32
+_LOW_BITS = np.uint64(0x5555555555555555)
 _SEED = mix(np.arange(1, 2 * VALUES + 1, dtype=np.uint64))
 _XOR = (_SEED[:VALUES] >> np.uint64(32)).astype(np.uint32)[:, None]
 _TIMES = (_SEED[VALUES:] >> np.uint64(32)).astype(np.uint32)[:, None] | np.uint32(1)
@@ -45,7 +47,7 @@ def region_keys(values: np.ndarray) -> np.ndarray:
 
 
 def signatures(documents: DataFrame, key: str, text: str, length: int) -> DataFrame:
-    """Per document: ``id``, set size ``n``, set ``fingerprint``, ``regions`` keys, ``signature`` bytes and their lowest bits."""
+    """Per document: ``id``, set size ``n``, set ``fingerprint``, ``regions`` keys, ``signature`` bytes and two bits of each."""
 
     def make():
         def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -54,7 +56,7 @@ def signatures(documents: DataFrame, key: str, text: str, length: int) -> DataFr
                 values = np.stack([min_values(s) for s in sets])
                 regions = region_keys(values)
                 signature = mix(values.astype(np.uint64)).astype(np.uint8)
-                sketch = np.packbits(signature & 1, axis=1)
+                sketch = np.packbits(np.stack([signature & 1, signature >> 1 & 1], axis=2).reshape(len(sets), -1), axis=1)
                 prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -96,18 +98,17 @@ def orders(round_: int) -> np.ndarray:
     )[:, :SORT_DEPTH]
 
 
-def neighbour_pairs(members: DataFrame, round_: int, quiet: int, threshold: float) -> DataFrame:
+def neighbour_pairs(members: DataFrame, round_: int, threshold: float) -> DataFrame:
     """Pairs of near neighbours of different components in one round's sorted orders.
 
     ``members`` has ``id``, ``component``, ``signature`` and ``sketch``. The rows are sorted by
     each order's values; a row looks at the 24 after it that share at least the first two
     values. Where many rows are alike these share long prefixes, where few are alike short
-    ones: the depth adapts to the region. Only the order's own values and the sketch, one bit
+    ones: the depth adapts to the region. Only the order's own values and the sketch, two bits
     of each value, are sorted. Of pairs whose sketches speak for an overlap of at least
-    ``threshold`` less 0.15 (four times what chance takes off), each row keeps the two best on
-    either side, and looks at more of them after rounds that were quiet.
+    ``threshold`` less 0.1 (over three times what chance takes off), each row keeps the two
+    best on either side.
     """
-    reach, best = NEIGHBOURS * (1 + quiet), BEST * (1 + quiet)
     picks = orders(round_)
     keys = [
         F.struct(
@@ -123,13 +124,14 @@ def neighbour_pairs(members: DataFrame, round_: int, quiet: int, threshold: floa
 
     def near(tree, prefix, ids, component, sketch):
         firsts, seconds, agree = [], [], []
-        for step in range(1, min(reach, len(ids) - 1) + 1):
+        for step in range(1, min(NEIGHBOURS, len(ids) - 1) + 1):
             same = (tree[step:] == tree[:-step]) & (component[step:] != component[:-step])
             same &= (prefix[step:, :LEAST_DEPTH] == prefix[:-step, :LEAST_DEPTH]).all(axis=1)
             at = np.flatnonzero(same)
             if len(at):
-                apart = np.bitwise_count(sketch[at] ^ sketch[at + step]).sum(axis=1, dtype=np.int64)
-                share = 1 - 2 * apart / VALUES  # bits of different values are equal half the time
+                apart = sketch[at] ^ sketch[at + step]
+                apart = np.bitwise_count((apart | apart >> np.uint64(1)) & _LOW_BITS).sum(axis=1, dtype=np.int64)
+                share = 1 - apart / (0.75 * VALUES)  # a quarter of different values agree in two bits
                 good = share >= least
                 firsts.append(at[good])
                 seconds.append(at[good] + step)
@@ -142,7 +144,7 @@ def neighbour_pairs(members: DataFrame, round_: int, quiet: int, threshold: floa
             order = np.lexsort((-share, side))
             start = np.flatnonzero(np.r_[True, side[order][1:] != side[order][:-1]]) if len(order) else order
             rank = np.arange(len(order)) - np.repeat(start, np.diff(np.r_[start, len(order)]))
-            chosen[order[rank < best]] = True
+            chosen[order[rank < BEST]] = True
         pairs = np.stack([ids[a[chosen]], ids[b[chosen]]], axis=1)
         return np.unique(np.sort(pairs, axis=1), axis=0)
 
@@ -156,11 +158,11 @@ def neighbour_pairs(members: DataFrame, round_: int, quiet: int, threshold: floa
                 np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, SORT_DEPTH),
                 batch.column(2).to_numpy(),
                 batch.column(3).to_numpy(),
-                np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(-1, SKETCH // 8),
+                np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS),
             ]
             block = block if kept is None else [np.concatenate(x) for x in zip(kept, block, strict=True)]
             pairs = near(*block)
-            kept = [x[-reach:] for x in block]
+            kept = [x[-NEIGHBOURS:] for x in block]
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return rows.mapInArrow(run, "a bigint, b bigint").distinct()
@@ -230,7 +232,7 @@ def near_duplicates(
     while quiet < QUIET_ROUNDS:
         placed = members.join(found, F.col("id") == F.col("node"), "left")
         placed = placed.select("id", F.coalesce("component", "id").alias("component"), "signature", "sketch")
-        pairs = neighbour_pairs(placed, round_, quiet, percent / 100)
+        pairs = neighbour_pairs(placed, round_, percent / 100)
         fresh = pairs.join(seen, ["a", "b"], "left_anti")
         tested = saved(confirmed(fresh, bodies, length, percent), "tested")
         seen = seen.union(tested)
