@@ -33,7 +33,7 @@ def evened(text: Column) -> Column:
 
 def template(even: Column) -> Column:
     """Placeholders for runs of capitalised words, runs of numbers, and units behind them; the rest in lower case."""
-    out = F.lower(F.regexp_replace(even, f"(^| ){_WORD}(?: {_WORD})*", f"$1{NAME}"))
+    out = F.lower(F.regexp_replace(even, f"(^| ){_WORD}(?: {_WORD})*+", f"$1{NAME}"))
     out = F.regexp_replace(out, f"(^| )[0-9]++(?: [0-9]++)*+ ?{_UNIT}(?= |$)", f"$1{NUMBER} {UNIT}")
     return F.regexp_replace(out, "(^| )[0-9]++(?: [0-9]++)*+", f"$1{NUMBER}")
 

@@ -137,6 +137,12 @@ def test_items_are_found_in_any_form(spark):
     assert [found[k, 1].verbatim for k in (1, 2, 3, 4)] == [False, True, True, True]
 
 
+def test_very_long_runs_of_names_and_numbers(spark):
+    runs = [" ".join(f"Name{chr(97 + k % 26)}" for k in range(60_000)), "12 " * 60_000, "7 km " * 40_000]
+    docs = [(k, f"{run} {ITEM} {run}") for k, run in enumerate(runs)]
+    assert set(found_pairs(spark, docs, [(5, ITEM)])) == {(0, 5), (1, 5), (2, 5)}
+
+
 def test_scattered_windows_are_no_copy(spark):
     words = ITEM.split()
     pieces = [" ".join(words[k : k + 5]) for k in range(len(words) - 4)]
