@@ -188,26 +188,19 @@ class Lanes:
 
 
 def learn(
-    model: GatedModel, documents: list[np.ndarray], past: np.ndarray, count: int = 512, window: int = 16, rate: float = 0.05, every: int = 2
+    model: GatedModel, documents: list[np.ndarray], past: np.ndarray, count: int = 512, window: int = 16, rate: float = 0.05
 ) -> int:
     """One pass over all documents by truncated backpropagation; the number of tokens.
 
     Every document is run through whole, its state going on from window to window;
-    gradients end at a window's start and one window in ``every`` gives one. ``past`` sums
+    every window gives a gradient, which ends at the window's start. ``past`` sums
     squared gradients, by which the steps of each weight are scaled.
     """
     table = Lanes(documents, count)
     state = np.zeros((len(table.dealt), model.width), np.float32)
     total = len(table.tokens)
-    for turn, at in enumerate(range(0, total, window)):
+    for at in range(0, total, window):
         end = min(at + window, total)
-        if turn % every:
-            given_of = model.views["embed"] @ model.views["input"] + model.views["bias"]
-            for t in range(at, end):
-                wide = int(table.active[t])
-                state = np.where(table.first[t, :wide, None], np.float32(0), state[:wide])
-                state = model.step(given_of[table.before[t, :wide]], state)[0]
-            continue
         wide = int(table.active[end - 1])
         cut = slice(at, end), slice(0, wide)
         grad, state = model.gradient(table.before[cut], table.tokens[cut], table.first[cut], state[:wide])

@@ -11,10 +11,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import map_batches
+from millrace.llm.tables import map_batches, saved
 from millrace.llm.text import mix, texts
 from millrace.llm.vocabulary import worker_memory
 
@@ -191,6 +191,7 @@ class WordScores:
 def fit(labelled: DataFrame, text: str, lang: str, sample_bytes: int, order: int) -> Model:
     """Models from about ``sample_bytes`` of text per language, chosen by hash of the text.
 
+    A language of few texts has one at least, so that every label with a letter gets a model.
     The driver gets one row per language, with its size, by which the share is set.
     Words are counted in the tasks that hold the sample, each language is trained in a
     task of its own over the bounded sample, and the tables, whose size follows the sample
@@ -198,12 +199,15 @@ def fit(labelled: DataFrame, text: str, lang: str, sample_bytes: int, order: int
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
     rows = rows.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text"))).collect()
+    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
+    letters = F.when(F.col("text").rlike(r"\p{L}"), draw)
+    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")), F.min(letters)).collect()
     if not sizes:
         return Model([], [], [], [], [])
-    share = F.create_map([F.lit(x) for lang, size in sizes for x in (lang, sample_bytes / max(size, 1))])
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.try_element_at(share, F.col("lang")) * (1 << 30))
-    sample = sample.select("lang", "text")
+    # Up to its share of the draws, and in any case the first text with a letter.
+    least = [(lang, max(int(sample_bytes / max(size, 1) * (1 << 30)), 1 + (first or 0))) for lang, size, first in sizes]
+    bound = F.create_map([F.lit(x) for pair in least for x in pair])
+    sample = rows.where(draw < F.try_element_at(bound, F.col("lang"))).select("lang", "text")
 
     def make():
         def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -242,12 +246,13 @@ def fit(labelled: DataFrame, text: str, lang: str, sample_bytes: int, order: int
 
 def identify(documents: DataFrame, model: Model, keys: list[str], text: str = "text") -> DataFrame:
     """``keys`` with ``lang_pred``, ``score`` (0 to 1) and ``entropy`` (bits per symbol)."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    parts = (model.languages, model.grams, model.logs, model.contexts, model.weights)
+    shared = documents.sparkSession.sparkContext.broadcast(parts)  # plain values: workers need not have this package
     name = ("languages", uuid.uuid4().hex)
 
     def make():
-        known = worker_memory(name, lambda: WordScores(shared.value))
-        languages = np.array([*shared.value.languages, UNDETERMINED], object)
+        known = worker_memory(name, lambda: WordScores(Model(*shared.value)))
+        languages = np.array([*shared.value[0], UNDETERMINED], object)
 
         def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for first in range(0, batch.num_rows, 500):
@@ -276,7 +281,7 @@ def identify(documents: DataFrame, model: Model, keys: list[str], text: str = "t
 
 def language_id(
     documents: DataFrame,
-    labelled: DataFrame,
+    labelled: DataFrame | str,
     key: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
@@ -288,31 +293,41 @@ def language_id(
 ) -> DataFrame:
     """One row per document: ``key``, ``keep``, ``lang_pred``, ``score``, ``entropy``, ``rejected``.
 
+    ``labelled`` has texts with their languages. It may be the name of a boolean column of the
+    documents that says which of them are labelled; each text is then scored once.
+
     One Kneser-Ney model per language over the letters of each word is learned from
-    ``labelled``, from about ``sample_bytes`` of text per language. The language with the
-    lowest cross-entropy per symbol over the whole text is taken. ``score`` falls from 1 as
-    others come close. ``rejected`` marks texts more than ``spread`` standard deviations
-    above the mean entropy of all labelled texts of that language.
+    ``labelled``, from about ``sample_bytes`` of text per language and one text at least. The
+    language with the lowest cross-entropy per symbol over the whole text is taken. ``score``
+    falls from 1 as others come close. ``rejected`` marks texts more than ``spread`` standard
+    deviations above the mean entropy of all labelled texts of that language that are taken
+    for it; where no text is, of the language with the highest such limit.
 
     Texts without a letter (null and empty ones too) and all texts if nothing is labelled
     are ``und`` with score 0 and rejected. Null labels teach nothing. Equal cross-entropies
     go to the first language by name. Repeated rows are all returned, other columns are
-    ignored, an empty table gives no rows.
+    ignored, an empty table gives no rows. The driver holds one row per language; the models
+    grow with the number of labels, which should be languages and not free text.
     """
-    model = fit(labelled, text, lang, sample_bytes, order)
     keys = [key, *(keep or [])]
-    found = identify(documents, model, keys, text)
+    inside = isinstance(labelled, str)
+    known = documents.where(F.col(labelled)) if inside else labelled
+    model = fit(known, text, lang, sample_bytes, order)
     if not model.languages:
-        return found.withColumn("rejected", F.lit(True))
-    trusted = labelled.where(F.col(lang).isNotNull()).withColumn("__lang", F.col(lang).cast("string"))
-    usual = identify(_calibration(trusted, text), model, ["__lang"], text).where(F.col("lang_pred") == F.col("__lang"))
-    limits = {r[0]: r[1] + spread * (r[2] or 0.0) for r in usual.groupBy("__lang").agg(F.avg("entropy"), F.stddev("entropy")).collect()}
-    limit: Column = F.lit(None).cast("double")
-    for name, value in sorted(limits.items()):
-        limit = F.when(F.col("lang_pred") == name, F.lit(value)).otherwise(limit)
-    return found.withColumn("rejected", F.coalesce(F.col("entropy") > limit, F.col("lang_pred") == UNDETERMINED))
-
-
-def _calibration(labelled: DataFrame, text: str, share: int = 16) -> DataFrame:
-    """One in ``share`` of the labelled texts, by hash: the sample that sets the rejection limit."""
-    return labelled.where(F.pmod(F.xxhash64(F.col(text), F.lit("limit")), F.lit(share)) == 0)
+        return identify(documents, model, keys, text).withColumn("rejected", F.lit(True))
+    label = F.col(lang).cast("string")
+    if inside:
+        marked = documents.withColumn("__lang", F.when(F.col(labelled), label))
+        found = saved(identify(marked, model, [*keys, "__lang"], text), "identified")
+        trusted = found
+    else:
+        found = identify(documents, model, keys, text)
+        trusted = identify(labelled.select(F.col(text), label.alias("__lang")), model, ["__lang"], text)
+    usual = trusted.where(F.col("lang_pred") == F.col("__lang")).groupBy("lang_pred")
+    limit = (F.avg("entropy") + spread * F.coalesce(F.stddev("entropy"), F.lit(0.0))).alias("__limit")
+    limits = saved(usual.agg(limit), "language_limits")
+    widest = limits.agg(F.max("__limit")).first()[0]
+    joined = found.join(limits, "lang_pred", "left")
+    above = F.col("entropy") > F.coalesce("__limit", F.lit(widest).cast("double"))
+    rejected = F.coalesce((F.col("lang_pred") == UNDETERMINED) | above, F.lit(True))
+    return joined.select(*keys, "lang_pred", "score", "entropy", rejected.alias("rejected"))

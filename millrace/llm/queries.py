@@ -77,7 +77,8 @@ def remainder(key: str, divisor: int) -> Column:
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from three quarters of them."""
     documents = read(spark, folder, "documents").withColumn("held_out", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)))
-    return language_id(documents, documents.where(~F.col("held_out")), keep=["held_out"])
+    documents = documents.withColumn("learned", ~F.col("held_out"))
+    return language_id(documents, "learned", keep=["held_out"])
 
 
 @query

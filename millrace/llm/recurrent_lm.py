@@ -96,11 +96,12 @@ class Encoder:
 
 def encoded(documents: DataFrame, keys: list[str], text: str, head: Head) -> DataFrame:
     """Per row the model's ids, sums over frequent words, and the other words with counts."""
-    shared = documents.sparkSession.sparkContext.broadcast(head)
+    parts = (head.words, head.counts, head.vocabulary, head.tokens, head.types)
+    shared = documents.sparkSession.sparkContext.broadcast(parts)  # plain values: workers need not have this package
     name = ("head", uuid.uuid4().hex)
 
     def make():
-        encoder = worker_memory(name, lambda: Encoder(shared.value))
+        encoder = worker_memory(name, lambda: Encoder(Head(*shared.value)))
         get = encoder.place.get
 
         def row(words: list[bytes]) -> tuple:
