@@ -72,6 +72,13 @@ HEADLINE = [
     "batch_interval_semi",
     "mode_append_rows",
     "sink_row_writer",
+    "sink_upsert_compacted",
+    "sink_row_writer_repeated",
+    "win_top1_closed",
+    "win_top1_sliding_closed",
+    "state_open_windows",
+    "lines_schema_kept",
+    "ckpt_edited_file",
 ]
 
 
