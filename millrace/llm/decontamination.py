@@ -160,8 +160,8 @@ def contaminated(
     found = saved(best.select("_key", "_class", "_view", "n_windows", "_b.*"), "matches")
 
     plain = found.where(F.col("_view") != TEMPLATE).join(members.drop("_all"), ["_class", "_view"])
-    plain = plain.select("_key", "_item", "n_windows", "n_found", F.lit(0).cast("long").alias("n_slots"), F.lit(True).alias("verbatim"))
-    checked = _slots(found.where(F.col("_view") == TEMPLATE), docs, members)
+    plain = saved(plain.select("_key", "_item", "n_windows", "n_found", F.lit(0).cast("long").alias("n_slots"), F.lit(True).alias("verbatim")), "plain_pairs")
+    checked = _slots(found.where(F.col("_view") == TEMPLATE), docs, members, plain)
     share = (F.col("n_found") / F.col("n_windows")).alias("coverage")
     rows = plain.unionByName(checked).withColumn("n_windows", F.col("n_windows").cast("long"))
     fields = ["n_windows", "n_found", "n_slots", "verbatim"]
@@ -170,17 +170,19 @@ def contaminated(
     return rows.select(F.col("_key").alias(key), F.col("_item").alias(item), "n_windows", "n_found", share, "n_slots", "verbatim")
 
 
-def _slots(found: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
+def _slots(found: DataFrame, docs: DataFrame, members: DataFrame, plain: DataFrame) -> DataFrame:
     """Template matches whose slot values correspond one to one, with the number of different pairs.
 
+    Pairs that are among the ``plain`` ones are not looked at again.
     Documents are read again for these matches alone; Spark sends their keys to every executor
     if they are few and shuffles otherwise.
     """
-    pairs = saved(found.join(members.drop("_all"), ["_class", "_view"]), "template_pairs")
+    pairs = saved(found.join(members.drop("_all"), ["_class", "_view"]).join(plain, ["_key", "_item"], "left_anti"), "template_pairs")
     words = lambda c: F.split(valued(evened(F.col(c))), " ")
     rows = pairs.select("_key", "_item", "n_windows", "n_found", "_matches", words("_text").alias("_known"))
     texts = docs.join(pairs.select(F.col("_key").alias("_wanted")).distinct(), F.col("_key") == F.col("_wanted"), "left_semi")
-    rows = rows.join(texts.distinct().select("_key", words("_text").alias("_given")), "_key")
+    # Stored, so that the words are made once and not for every place that looks one up.
+    rows = saved(rows.join(texts.distinct().select("_key", words("_text").alias("_given")), "_key"), "slot_words")
 
     def met(match: Column) -> Column:
         places = F.sequence(F.lit(0), F.lit(WINDOW - 1))
