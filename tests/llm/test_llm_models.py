@@ -1,6 +1,8 @@
 """Language models, language identification, licence notices and url templates."""
 
 import math
+import random
+import re
 import zlib
 from collections import Counter
 
@@ -156,6 +158,94 @@ def test_languages_of_held_out_texts(spark):
     assert language_id(frame_.limit(0), frame_).count() == 0
 
 
+class PlainKneserNey:
+    """Interpolated Kneser-Ney over the letters of words, with strings and dictionaries."""
+
+    def __init__(self, words, order=5):
+        occurs, before = Counter(), {}
+        for word, times in words.items():
+            text = f"\x02{word}\x03"
+            for end in range(1, len(text)):
+                for k in range(1, order + 1):
+                    start = end - k + 1
+                    if start >= 0:
+                        if k == order or start == 0:
+                            occurs[text[start : end + 1]] += times
+                        if start > 0 and k < order:
+                            before.setdefault(text[start : end + 1], set()).add(text[start - 1])
+        counts = Counter(occurs)
+        for gram, signs in before.items():
+            counts[gram] += len(signs)
+        self.order, self.levels = order, []
+        for k in range(1, order + 1):
+            level = {g: n for g, n in counts.items() if len(g) == k}
+            ones, twos = (sum(n == m for n in level.values()) for m in (1, 2))
+            total, kinds = Counter(), Counter()
+            for gram, n in level.items():
+                total[gram[:-1]] += n
+                kinds[gram[:-1]] += 1
+            self.levels.append((level, ones / (ones + 2 * twos) if ones and twos else 0.5, total, kinds))
+
+    def probability(self, gram):
+        if not gram:
+            return 1 / 10_000
+        level, discount, total, kinds = self.levels[len(gram) - 1]
+        shorter, context = self.probability(gram[1:]), gram[:-1]
+        if context not in total:
+            return shorter
+        return (max(level.get(gram, 0) - discount, 0) + discount * kinds[context] * shorter) / total[context]
+
+    def bits(self, words):
+        total = size = 0
+        for word in words:
+            text = f"\x02{word}\x03"
+            for end in range(1, len(text)):
+                total -= math.log2(self.probability(text[max(0, end - self.order + 1) : end + 1]))
+                size += 1
+        return total / size
+
+
+def test_languages_equal_plain_kneser_ney(spark):
+    """Every text's entropy and language, and the limits of rejection, by a model of strings."""
+    draw = random.Random(4)
+    letters = {"aa": "abcde", "bb": "cdefgé", "cc": "xyzabß中"}
+    text = lambda lang, n: " ".join("".join(draw.choices(letters[lang], k=draw.randint(1, 7))) for _ in range(n))
+    docs = [(k, text(lang, draw.randint(5, 60)), lang) for k, lang in enumerate(draw.choices(list(letters), k=60))]
+    docs += [(100 + k, text("aa", 20) + " " + text("cc", 15), None) for k in range(10)]
+    docs += [(200, "Ab, C'd! ABC 12", None), (201, None, "aa"), (202, "qqq www", None)]
+    split = lambda body: re.findall(r"[^\W\d_]+", (body or "").lower())
+    plain = {x: PlainKneserNey(Counter(w for _, body, lang in docs if lang == x for w in split(body))) for x in letters}
+    table = frame(spark, docs).withColumn("known", F.col("lang").isNotNull())
+    for labelled in ("known", table.where("known")):
+        found = {r.doc_id: r for r in language_id(table, labelled).collect()}
+        usual = {x: [] for x in letters}
+        for key, body, lang in docs:
+            row = found[key]
+            if not split(body):
+                assert (row.lang_pred, row.score, row.rejected) == ("und", 0.0, True)
+                continue
+            bits = {x: m.bits(split(body)) for x, m in plain.items()}
+            assert row.lang_pred == min(bits, key=bits.get)
+            assert row.entropy == pytest.approx(min(bits.values()), abs=2e-4)
+            assert row.score == pytest.approx(1 / sum(math.exp(8 * (min(bits.values()) - b)) for b in bits.values()), abs=2e-3)
+            if lang == row.lang_pred:
+                usual[lang].append(min(bits.values()))
+        for key, body, _ in docs:
+            if split(body):
+                known = usual[found[key].lang_pred]
+                limit = np.mean(known) + 6 * np.std(known, ddof=1)
+                assert found[key].rejected == (found[key].entropy > limit)
+    assert found[202].rejected
+
+
+def test_every_label_with_a_letter_has_a_model(spark):
+    """A language whose bytes lie in one long text and copies of it is learned all the same."""
+    long_one = prose(5, 4000)
+    docs = [(k, long_one, "xx") for k in range(5)] + [(10 + k, prose(50 + k, 30).upper().replace("A", "Ø"), "yy") for k in range(20)] + [(90, "12 !!", "zz")]
+    found = {r.doc_id: r.lang_pred for r in language_id(frame(spark, docs), frame(spark, docs), sample_bytes=2000).collect()}
+    assert found[0] == "xx" and found[10] == "yy" and found[90] == "und"
+
+
 def test_notices_are_found_with_their_wording(spark):
     docs = [
         (1, f"{prose(1, 40)}\n{TEMPLATES['Apache-2.0']} {prose(2, 30)}"),
