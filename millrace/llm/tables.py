@@ -40,8 +40,9 @@ def numbered(rows: DataFrame, name: str) -> DataFrame:
     """The rows with a number of their own in column ``name``, the same whenever they are read.
 
     The number is the place in the Parquet files the rows come from: the file's rank by path
-    and the row's index in it. Rows that come from elsewhere are written first. The list of
-    files, one short row each, is as long as Spark's own list of them.
+    and the row's index in it (up to 2**40). Rows that come from elsewhere are written first;
+    steps in between must not copy rows. The list of files, one short row each, is sent to
+    the executors; it is as long as Spark's own list of them. An empty table stays empty.
     """
     try:
         rows.select("_metadata.row_index")
