@@ -20,6 +20,8 @@ ORDERS, SORT_DEPTH, LEAST_DEPTH = 16, 16, 2
 NEIGHBOURS, BEST = 24, 2
 QUIET_ROUNDS = 2
 MARGIN = 0.1
+#: Pairs whose full sets a confirming task holds at a time.
+SETS = 64
 #: Two bits of each value, 32 values to a word.
 SKETCH_WORDS = VALUES // 32
 _LOW_BITS = np.uint64(0x5555555555555555)
@@ -177,9 +179,11 @@ def confirmed(pairs: DataFrame, bodies: DataFrame, length: int, percent: int) ->
 
         def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             linked = []
-            for x, y in zip(sets(batch.column(2)), sets(batch.column(3)), strict=True):
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * common >= percent * (len(x) + len(y) - common))
+            for start in range(0, batch.num_rows, SETS):
+                part = batch.slice(start, SETS)
+                for x, y in zip(sets(part.column(2)), sets(part.column(3)), strict=True):
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    linked.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
         return work
