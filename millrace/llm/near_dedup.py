@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.tables import map_batches, salted, saved
+from millrace.llm.tables import map_batches, salted, saved, unzipped, zipped
 from millrace.llm.text import chunks, mix, shingle_set, text_buffer
 
 VALUES = 256
 REGIONS, REGION_DEPTH = 16, 3
 ORDERS, SORT_DEPTH, LEAST_DEPTH = 16, 16, 2
-NEIGHBOURS, BEST = 24, 2
+NEIGHBOURS, BEST = 96, 4
 QUIET_ROUNDS = 2
 MARGIN = 0.1
 #: Pairs whose full sets a confirming task holds at a time.
@@ -104,12 +104,12 @@ def neighbour_pairs(members: DataFrame, round_: int, threshold: float) -> DataFr
     """Pairs of near neighbours of different components in one round's sorted orders.
 
     ``members`` has ``id``, ``component``, ``signature`` and ``sketch``. The rows are sorted by
-    each order's values; a row looks at the 24 after it that share at least the first two
+    each order's values; a row looks at the 96 after it that share at least the first two
     values. Where many rows are alike these share long prefixes, where few are alike short
     ones: the depth adapts to the region. Only the order's own values and the sketch, two bits
     of each value, are sorted. Of pairs whose sketches speak for an overlap of at least
-    ``threshold`` less 0.1 (over three times what chance takes off), each row keeps the two
-    best on either side.
+    ``threshold`` less 0.1 (over three times what chance takes off), each row keeps the four
+    best on either side. Looking far costs no disk, and a round that finds more saves others.
     """
     picks = orders(round_)
     keys = [
@@ -171,11 +171,11 @@ def neighbour_pairs(members: DataFrame, round_: int, threshold: float) -> DataFr
 
 
 def confirmed(pairs: DataFrame, bodies: DataFrame, length: int, percent: int) -> DataFrame:
-    """The pairs with ``linked``: whether their full shingle sets overlap by ``percent``."""
+    """The pairs with ``linked``: whether their full shingle sets overlap by ``percent``. ``bodies`` are zipped."""
 
     def make():
         def sets(column: pa.Array) -> list[np.ndarray]:
-            return [shingle_set(w.of(r), length) for f, l, w in chunks(column, lower=True) for r in range(l - f)]
+            return [shingle_set(w.of(r), length) for f, l, w in chunks(unzipped(column), lower=True) for r in range(l - f)]
 
         def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             linked = []
@@ -228,7 +228,7 @@ def near_duplicates(
     members = saved(members, "members")
     bodies = documents.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("body"))
     wanted = members.select("id").hint("merge")
-    bodies = saved(bodies.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "bodies")
+    bodies = saved(zipped(bodies.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "id", "body"), "bodies")
 
     found = spark.createDataFrame([], "node bigint, component bigint")
     seen = spark.createDataFrame([], "a bigint, b bigint, linked boolean")

@@ -9,7 +9,7 @@ import corpus_pipeline
 from cases import edited, frame, odd, prose, row, SCHEMA
 from millrace.llm.components import components, forest
 from millrace.llm.decontamination import contaminated
-from millrace.llm.near_dedup import near_duplicates
+from millrace.llm.near_dedup import near_duplicates, neighbour_pairs, SKETCH_WORDS, VALUES
 
 import numpy as np
 
@@ -265,3 +265,13 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     frame(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     items(spark, []).write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_a_round_finds_a_neighbour_behind_others_that_are_none(spark):
+    """60 rows with one prefix, of which only the first and the last are alike."""
+    draw = np.random.default_rng(3)
+    sketches = [draw.integers(0, 256, 8 * SKETCH_WORDS, np.uint8).tobytes() for _ in range(60)]
+    sketches[-1] = sketches[0]
+    rows = [(k, k, bytearray(VALUES), bytearray(x)) for k, x in enumerate(sketches)]
+    members = spark.createDataFrame(rows, "id long, component long, signature binary, sketch binary")
+    assert {(r.a, r.b) for r in neighbour_pairs(members, 0, 0.8).collect()} == {(0, 59)}
