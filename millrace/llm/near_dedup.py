@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from millrace.llm.components import components
 from millrace.llm.tables import map_batches, salted, saved, unzipped, zipped
 from millrace.llm.text import chunks, mix, shingle_set, text_buffer
+from millrace.llm.vocabulary import forget_memory
 
 VALUES = 256
 REGIONS, REGION_DEPTH = 16, 3
@@ -52,6 +53,8 @@ def signatures(documents: DataFrame, key: str, text: str, length: int) -> DataFr
     """Per document: ``id``, set size ``n``, set ``fingerprint``, ``regions`` keys, ``signature`` bytes and two bits of each."""
 
     def make():
+        forget_memory()
+
         def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for first, last, words in chunks(batch.column(1), lower=True):
                 sets = [shingle_set(words.of(r), length) for r in range(last - first)]

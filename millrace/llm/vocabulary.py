@@ -34,6 +34,11 @@ def worker_memory(key: tuple, make: Callable):
     return kept[key]
 
 
+def forget_memory() -> None:
+    """Let go of what the earlier tasks of this Python worker kept, which may be much, for a step that needs the room."""
+    sys.modules.pop("millrace_worker_memory", None)
+
+
 class Memo(dict):
     """Results by key; beyond ``limit`` keys new ones are worked out each time."""
 

@@ -10,6 +10,7 @@ from cases import edited, frame, odd, prose, row, SCHEMA
 from millrace.llm.components import components, forest
 from millrace.llm.decontamination import contaminated
 from millrace.llm.near_dedup import near_duplicates, neighbour_pairs, SKETCH_WORDS, VALUES
+from millrace.llm.vocabulary import forget_memory, worker_memory
 
 import numpy as np
 
@@ -275,3 +276,14 @@ def test_a_round_finds_a_neighbour_behind_others_that_are_none(spark):
     rows = [(k, k, bytearray(VALUES), bytearray(x)) for k, x in enumerate(sketches)]
     members = spark.createDataFrame(rows, "id long, component long, signature binary, sketch binary")
     assert {(r.a, r.b) for r in neighbour_pairs(members, 0, 0.8).collect()} == {(0, 59)}
+
+
+def test_a_worker_lets_go_of_what_other_steps_kept():
+    made = []
+    worker_memory(("some step",), lambda: made.append(1))
+    worker_memory(("some step",), lambda: made.append(1))
+    forget_memory()
+    forget_memory()
+    worker_memory(("some step",), lambda: made.append(1))
+    assert len(made) == 2
+    forget_memory()
