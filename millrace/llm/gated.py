@@ -7,10 +7,10 @@ rare words and is a class of its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 
+#: Tokens whose logits are worked out at a time, so that these stay in the cache.
+BLOCK = 1 << 11
 SHAPES = ("embed", "input", "bias", "state", "classes", "class_bias", "words", "word_bias")
 
 
@@ -60,34 +60,48 @@ class GatedModel:
         return model
 
     def step(self, given: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The next state of each row, and what led to it."""
+        return tuple(x.T for x in self.step_columns(given.T, state.T))
+
+    def step_columns(self, given: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
+        """A step with a column for each lane, so that sums and slices run over long rows."""
         w = self.width
-        inner = state @ self.views["state"]
-        gates = sigmoid(given[:, : 2 * w] + inner[:, : 2 * w])
-        keep, reset = gates[:, :w], gates[:, w:]
-        fresh = np.tanh(given[:, 2 * w :] + reset * inner[:, 2 * w :])
-        return fresh + keep * (state - fresh), keep, reset, fresh, inner[:, 2 * w :]
-
-    def by_class(self, targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Positions of the targets of each class that has words."""
-        group = targets // self.members
-        group[targets == self.rare] = self.groups - 1
+        inner = self.views["state"].T @ state
+        gates = sigmoid(given[: 2 * w] + inner[: 2 * w])
+        keep, reset = gates[:w], gates[w:]
+        fresh = np.tanh(given[2 * w :] + reset * inner[2 * w :])
+        return fresh + keep * (state - fresh), keep, reset, fresh, inner[2 * w :]
+
+    def by_class(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+        """Class of each target, places in the order of classes, and (class, start, end) there of those with words."""
+        group = np.where(targets == self.rare, self.groups - 1, targets // self.members).astype(np.uint16)
         order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(self.groups))
-        for c in range(self.groups - 1):
-            at = order[edges[c] : edges[c + 1]]
-            if len(at):
-                yield c, at
+        edges = np.searchsorted(group[order], np.arange(self.groups)).tolist()
+        return group, order, [(c, lo, hi) for c, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if hi > lo]
 
     def log_probability(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log probability of each target after its state."""
-        group = np.where(targets == self.rare, self.groups - 1, targets // self.members)
-        logits = states @ self.views["classes"] + self.views["class_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        out = logits[np.arange(len(group)), group] - np.log(np.exp(logits).sum(axis=1))
-        for c, at in self.by_class(targets):
-            inner = states[at] @ self.views["words"][c] + (self.views["word_bias"][c] + self.absent[c])
-            inner -= inner.max(axis=1, keepdims=True)
-            out[at] += inner[np.arange(len(at)), targets[at] - c * self.members] - np.log(np.exp(inner).sum(axis=1))
+        return self.log_probability_columns(states.T, targets)
+
+    def log_probability_columns(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
+        group, order, parts = self.by_class(targets)
+        out = np.empty(len(targets), np.float32)
+        for lo in range(0, len(out), BLOCK):
+            cut = slice(lo, lo + BLOCK)
+            logits = self.views["classes"].T @ states[:, cut]
+            logits += self.views["class_bias"][:, None]
+            logits -= logits.max(axis=0)
+            out[cut] = logits[group[cut], np.arange(logits.shape[1])]
+            out[cut] -= np.log(np.exp(logits, out=logits).sum(axis=0))
+        dealt = np.take(states, order, axis=1)
+        for c, lo, hi in parts:
+            for start in range(lo, hi, BLOCK):
+                at = order[start : min(start + BLOCK, hi)]
+                inner = self.views["words"][c].T @ dealt[:, start : start + len(at)]
+                inner += (self.views["word_bias"][c] + self.absent[c])[:, None]
+                inner -= inner.max(axis=0)
+                own = inner[targets[at] - c * self.members, np.arange(len(at))]
+                out[at] += own - np.log(np.exp(inner, out=inner).sum(axis=0))
         return out
 
     def gradient(self, before: np.ndarray, targets: np.ndarray, first: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,57 +110,66 @@ class GatedModel:
         steps, lanes = targets.shape
         grad = np.zeros(self.length, np.float32)
         g = {name: grad[slot].reshape(v[name].shape) for name, slot in self.slots.items()}
-        x = v["embed"][before]
-        given = x @ v["input"] + v["bias"]
-        kept, states = [], np.empty((steps, lanes, w), np.float32)
+        ids = before.reshape(-1)
+        x = np.take(np.ascontiguousarray(v["embed"].T), ids, axis=1)
+        given = (v["input"].T @ x + v["bias"][:, None]).reshape(3 * w, steps, lanes)
+        state = np.ascontiguousarray(state.T)
+        kept, states, earlier = [], np.empty((w, steps, lanes), np.float32), np.empty((w, steps, lanes), np.float32)
         for t in range(steps):
-            state = np.where(first[t][:, None], np.float32(0), state)
-            new, *rest = self.step(given[t], state)
+            earlier[:, t] = state = np.where(first[t], np.float32(0), state)
+            new, *rest = self.step_columns(given[:, t], state)
             kept.append((state, *rest))
-            state = states[t] = new
-        flat, goal = states.reshape(-1, w), targets.reshape(-1)
+            state = states[:, t] = new
+        flat, goal = states.reshape(w, -1), targets.reshape(-1)
         n = np.float32(len(goal))
-        group = np.where(goal == self.rare, self.groups - 1, goal // self.members)
-        share = flat @ v["classes"] + v["class_bias"]
-        share = np.exp(share - share.max(axis=1, keepdims=True))
-        share /= share.sum(axis=1, keepdims=True)
-        share[np.arange(len(goal)), group] -= 1
-        share /= n
-        g["classes"][:] = flat.T @ share
-        g["class_bias"][:] = share.sum(axis=0)
-        back = share @ v["classes"].T
-        for c, at in self.by_class(goal):
-            inner = flat[at] @ v["words"][c] + (v["word_bias"][c] + self.absent[c])
-            inner = np.exp(inner - inner.max(axis=1, keepdims=True))
-            inner /= inner.sum(axis=1, keepdims=True)
-            inner[np.arange(len(at)), goal[at] - c * self.members] -= 1
-            inner /= n
-            g["words"][c] = flat[at].T @ inner
-            g["word_bias"][c] = inner.sum(axis=0)
-            back[at] += inner @ v["words"][c].T
-        back = back.reshape(steps, lanes, w)
-        to_given = np.empty_like(given)
-        later = np.zeros((lanes, w), np.float32)
+        group, order, parts = self.by_class(goal)
+        back = np.empty_like(flat)
+        for lo in range(0, len(goal), BLOCK):
+            cut = slice(lo, lo + BLOCK)
+            share = v["classes"].T @ flat[:, cut]
+            share += v["class_bias"][:, None]
+            share -= share.max(axis=0)
+            np.exp(share, out=share)
+            share /= share.sum(axis=0) * n
+            share[group[cut], np.arange(share.shape[1])] -= 1 / n
+            g["classes"] += flat[:, cut] @ share.T
+            g["class_bias"] += share.sum(axis=1)
+            back[:, cut] = v["classes"] @ share
+        dealt = np.take(flat, order, axis=1)
+        own = np.zeros_like(dealt)
+        for c, lo, hi in parts:
+            inner = v["words"][c].T @ dealt[:, lo:hi]
+            inner += (v["word_bias"][c] + self.absent[c])[:, None]
+            inner -= inner.max(axis=0)
+            np.exp(inner, out=inner)
+            inner /= inner.sum(axis=0) * n
+            inner[goal[order[lo:hi]] - c * self.members, np.arange(hi - lo)] -= 1 / n
+            g["words"][c] = dealt[:, lo:hi] @ inner.T
+            g["word_bias"][c] = inner.sum(axis=1)
+            own[:, lo:hi] = v["words"][c] @ inner
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        back += np.take(own, place, axis=1)
+        back = back.reshape(w, steps, lanes)
+        to_given, to_inner = np.empty_like(given), np.empty_like(given)
+        later = np.zeros((w, lanes), np.float32)
         for t in range(steps - 1, -1, -1):
             state_t, keep, reset, fresh, inner = kept[t]
-            now = back[t] + later
+            now = back[:, t] + later
             d_fresh = now * (1 - keep) * (1 - fresh * fresh)
             d_keep = now * (state_t - fresh) * keep * (1 - keep)
             d_reset = d_fresh * inner * reset * (1 - reset)
-            to_given[t, :, :w], to_given[t, :, w : 2 * w], to_given[t, :, 2 * w :] = d_keep, d_reset, d_fresh
-            to_inner = np.concatenate([d_keep, d_reset, d_fresh * reset], axis=1)
-            g["state"] += state_t.T @ to_inner
-            later = now * keep + to_inner @ v["state"].T
-            later[first[t]] = 0
-        flat_given = to_given.reshape(-1, 3 * w)
-        g["input"][:] = x.reshape(-1, w).T @ flat_given
-        g["bias"][:] = flat_given.sum(axis=0)
-        d_x = flat_given @ v["input"].T
-        order = np.argsort(before.reshape(-1), kind="stable")
-        ids = before.reshape(-1)[order]
-        starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-        g["embed"][ids[starts]] = np.add.reduceat(d_x[order], starts, axis=0)
-        return grad, state
+            to_given[:w, t], to_given[w : 2 * w, t], to_given[2 * w :, t] = d_keep, d_reset, d_fresh
+            to_inner[:w, t], to_inner[w : 2 * w, t], to_inner[2 * w :, t] = d_keep, d_reset, d_fresh * reset
+            later = now * keep + v["state"] @ to_inner[:, t]
+            later[:, first[t]] = 0
+        g["state"][:] = earlier.reshape(w, -1) @ to_inner.reshape(3 * w, -1).T
+        flat_given = to_given.reshape(3 * w, -1)
+        g["input"][:] = x @ flat_given.T
+        g["bias"][:] = flat_given.sum(axis=1)
+        for k, d_x in enumerate(v["input"] @ flat_given):
+            g["embed"][:, k] = np.bincount(ids, weights=d_x, minlength=self.size)
+        return grad, state.T
 
 
 def lanes(lengths: np.ndarray, count: int) -> list[list[int]]:
@@ -216,20 +239,20 @@ def score(model: GatedModel, documents: list[np.ndarray], count: int = 1024, blo
     if not documents:
         return out
     table = Lanes(documents, count)
-    given_of = model.views["embed"] @ model.views["input"] + model.views["bias"]
-    state = np.zeros((len(table.dealt), model.width), np.float32)
+    given_of = np.ascontiguousarray((model.views["embed"] @ model.views["input"] + model.views["bias"]).T)
+    state = np.zeros((model.width, len(table.dealt)), np.float32)
     sums = np.zeros((len(table.tokens) + 1, len(table.dealt)))
     for at in range(0, len(table.tokens), block):
         end = min(at + block, len(table.tokens))
         kept, goals, places = [], [], []
         for t in range(at, end):
             wide = int(table.active[t])
-            state = np.where(table.first[t, :wide, None], np.float32(0), state[:wide])
-            state = model.step(given_of[table.before[t, :wide]], state)[0]
+            state = np.where(table.first[t, :wide], np.float32(0), state[:, :wide])
+            state = model.step_columns(np.take(given_of, table.before[t, :wide], axis=1), state)[0]
             kept.append(state)
             goals.append(table.tokens[t, :wide])
             places.append((t + 1, wide))
-        values = model.log_probability(np.concatenate(kept), np.concatenate(goals))
+        values = model.log_probability_columns(np.concatenate(kept, axis=1), np.concatenate(goals))
         done = 0
         for t, wide in places:
             sums[t, :wide] = values[done : done + wide]

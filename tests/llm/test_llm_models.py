@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from cases import SCHEMA, frame, odd, prose, row
+from millrace.llm import gated
 from millrace.llm import language_id as li
 from millrace.llm.gated import SHAPES, GatedModel, Lanes, learn, score
 from millrace.llm.language_id import Model, WordScores, language_id, train
@@ -64,6 +65,19 @@ def test_probabilities_sum_to_one_and_state_is_carried():
     assert table.active[0] == 3 and sorted(r for rows in table.dealt for r in rows) == list(range(6))
 
 
+def test_blocks_of_any_size_give_the_same_gradients_and_scores(monkeypatch):
+    rng = np.random.default_rng(4)
+    model = GatedModel.start(rng.integers(1, 50, 75), 16, 4)
+    docs = [rng.integers(0, 75, n).astype(np.int32) for n in (40, 7, 1, 33)]
+    table, found = Lanes(docs, 3), []
+    cut = slice(0, 9), slice(0, 3)
+    for size in (5, 1 << 11):
+        monkeypatch.setattr(gated, "BLOCK", size)
+        grad, state = model.gradient(table.before[cut], table.tokens[cut], table.first[cut], np.zeros((3, 4), np.float32))
+        found.append(np.r_[grad, state.ravel(), score(model, docs)])
+    assert found[0] == pytest.approx(found[1], rel=1e-4, abs=1e-6)
+
+
 def test_training_learns_a_sequence():
     model = GatedModel.start(np.array([10, 10, 10, 10, 1]), 2, 6)
     docs = [np.array([1, 2, 3] * 20 + [0], np.int32) for _ in range(40)]
